@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barlake.functions.columns import ratio
 from barlake.operators.lookups import latest_date_by_stock
-from barlake.operators.series import whole_series
+from barlake.operators.series import dedup_first, whole_series
 from barlake.plans.cleaning import clean_and_adjust
 from barlake.schemas import BAR_KEY, DAILY_KLINE, PRICES, QFQ_PRICES
 from barlake.storage.tables import read_table, upsert
@@ -32,9 +32,14 @@ def incremental_plan(
 
 
 def select_window(landed: DataFrame, plan: DataFrame, end: str) -> DataFrame:
-    """Landed bars the plan asks for."""
-    wanted = (F.col("trade_date") >= F.col("start_date")) & (F.col("trade_date") <= F.lit(end).cast("date"))
-    return landed.join(plan, "ts_code").filter(wanted)
+    """Landed bars the plan asks for, one per instrument and day (first arrival).
+
+    The earliest day any instrument needs prunes the scan.  Copies are removed before the
+    join by instrument, so that a much repeated bar is reduced where it is read."""
+    earliest = plan.agg(F.min("start_date")).scalar()
+    in_reach = landed.filter(F.col("trade_date").between(earliest, F.lit(end).cast("date")))
+    window = dedup_first(in_reach).drop("ingest_seq").join(plan, "ts_code")
+    return window.filter(F.col("trade_date") >= F.col("start_date")).drop("start_date")
 
 
 def context_rows(stored: DataFrame, plan: DataFrame) -> DataFrame:
@@ -77,16 +82,14 @@ def incremental_batch(
 
     ``landed`` carries ``ingest_seq`` and the bar columns."""
     plan = incremental_plan(pool, stored, base_start, end)
-    window = select_window(landed, plan, end).drop("start_date")
+    window = select_window(landed, plan, end)
     context = context_rows(stored, plan)
     # the context bar's own factor joins the feed, so fills continue from it
     factor_rows = factors.select(*BAR_KEY, "adj_factor").join(
         context.select(*BAR_KEY), list(BAR_KEY), "left_anti"
     ).unionByName(context.select(*BAR_KEY, "adj_factor"))
-    series = window.unionByName(
-        context.drop("adj_factor").withColumn("ingest_seq", F.lit(-1).cast("long")), allowMissingColumns=True
-    )
-    cleaned = clean_and_adjust(series, factor_rows, open_days, max_daily_pct)
+    series = window.unionByName(context.drop("adj_factor"), allowMissingColumns=True)
+    cleaned = clean_and_adjust(series, factor_rows, open_days, max_daily_pct, order=None)
     fresh = cleaned.join(plan, "ts_code").filter(F.col("trade_date") >= F.col("start_date"))
     return fresh.drop("start_date")
 
@@ -143,5 +146,5 @@ def run_full_refresh(
 ) -> int:
     """Read everything since ``base_start`` again, whatever is stored, and upsert it."""
     plan = incremental_plan(pool, None, base_start, end)
-    window = select_window(landed, plan, end).drop("start_date")
-    return upsert(spark, path, DAILY_KLINE, clean_and_adjust(window, factors, open_days, max_daily_pct))
+    window = select_window(landed, plan, end)
+    return upsert(spark, path, DAILY_KLINE, clean_and_adjust(window, factors, open_days, max_daily_pct, order=None))

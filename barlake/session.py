@@ -13,6 +13,9 @@ _SQL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Split a hot instrument's side of a join even where that costs the operators above
+    # their ready-made partitioning.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # A join on (ts_code, trade_date) may reuse rows already shuffled by ts_code, so a
     # chain of window -> join -> window costs one exchange on the bar side.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",

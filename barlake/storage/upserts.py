@@ -75,6 +75,10 @@ def append_run_records(path: str, records: DataFrame) -> None:
     """Start and end records of runs; :func:`barlake.operators.runs.fold_run_log` folds them."""
     known = {c: F.col(c) if c in records.columns else F.lit(None) for c in PIPELINE_LOG.columns}
     rows = records.select(*[v.cast(PIPELINE_LOG.schema[c].dataType).alias(c) for c, v in known.items()])
-    rows.withColumn(PIPELINE_LOG.partition, PIPELINE_LOG.partition_value()).write.mode("append").partitionBy(
-        PIPELINE_LOG.partition
-    ).parquet(path)
+    (
+        rows.withColumn(PIPELINE_LOG.partition, PIPELINE_LOG.partition_value())
+        .hint("rebalance", PIPELINE_LOG.partition)
+        .write.mode("append")
+        .partitionBy(PIPELINE_LOG.partition)
+        .parquet(path)
+    )

@@ -5,7 +5,8 @@ without volume, unknown or contradictory highs and weekend bars occur by themsel
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from barlake.functions.codes import ts_code_of, zero_pad
 
@@ -18,8 +19,15 @@ A_DAY = "2024-01-16"
 AN_INSTRUMENT = "300007.SZ"
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table.  Its schema is inferred once; naming it saves a job per later read."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def symbol(number: str) -> Column:
