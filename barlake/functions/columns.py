@@ -24,7 +24,8 @@ def finite(value: Column | str) -> Column:
 def clean_numeric(df: DataFrame) -> DataFrame:
     """Apply :func:`finite` to every floating-point column."""
     floating = [f.name for f in df.schema.fields if isinstance(f.dataType, (DoubleType, FloatType))]
-    return df.withColumns({name: finite(name) for name in floating}) if floating else df
+    known = "CASE WHEN NOT isnan(`{0}`) AND abs(`{0}`) <> double('Infinity') THEN `{0}` END"
+    return df.withColumns({name: F.expr(known.format(name)) for name in floating}) if floating else df
 
 
 def number(text: Column | str) -> Column:

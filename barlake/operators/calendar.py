@@ -95,7 +95,7 @@ def calendar_align(bars: DataFrame, open_days: DataFrame) -> DataFrame:
     placed = spread.select(
         "ts_code",
         F.col("cal_day").alias("trade_date"),
-        *[F.when(F.col("own_day"), F.col(c)).alias(c) for c in payload],
+        *[F.expr(f"IF(own_day, `{c}`, NULL)").alias(c) for c in payload],
         "own_day",
         true_only(F.col("cal_open")).alias("cal_open"),
     )

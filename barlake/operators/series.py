@@ -98,14 +98,16 @@ def flag_extreme(df: DataFrame, max_daily_pct: float = 15.0) -> DataFrame:
     return df.withColumn("flag_extreme", flag)
 
 
-def invalid_ohlc(prefix: str = "") -> Column:
-    """Prices that contradict each other or are not positive; unknown prices never do."""
-    o, h, l, c = (F.col(prefix + p) for p in ("open", "high", "low", "close"))
-    terms = [h < F.greatest(o, c, l), l > F.least(o, c, h), o <= 0, h <= 0, l <= 0, c <= 0]
-    verdict = true_only(terms[0])
-    for term in terms[1:]:
-        verdict = verdict | true_only(term)
-    return verdict
+def invalid_ohlc() -> Column:
+    """Prices that contradict each other or are not positive; unknown prices never do.
+
+    ``greatest`` and ``least`` skip NULLs; a comparison that stays unknown counts as false."""
+    terms = (
+        "high < greatest(open, close, low)",
+        "low > least(open, close, high)",
+        "least(open, high, low, close) <= 0",
+    )
+    return F.expr(" OR ".join(f"coalesce({term}, false)" for term in terms))
 
 
 def flag_invalid_ohlc(df: DataFrame) -> DataFrame:

@@ -42,22 +42,29 @@ def select_window(landed: DataFrame, plan: DataFrame, end: str) -> DataFrame:
     return window.filter(F.col("trade_date") >= F.col("start_date")).drop("start_date")
 
 
+def bars_at(bars: DataFrame, days: DataFrame) -> DataFrame:
+    """Bars at one given day (``ts_code``, ``trade_date``) per instrument.
+
+    The earliest of the days is computed first and skips older row groups and files."""
+    earliest = days.agg(F.min("trade_date")).scalar()
+    return bars.filter(F.col("trade_date") >= earliest).join(days, list(BAR_KEY), "left_semi")
+
+
 def context_rows(stored: DataFrame, plan: DataFrame) -> DataFrame:
     """The last stored bar before each instrument's window.
 
     It gives the first window row a predecessor for its return and its fills, and is
-    not written again.  One row per instrument, found by a partial aggregation."""
-    before = stored.join(plan, "ts_code").filter(F.col("trade_date") < F.col("start_date"))
-    bar = F.struct("trade_date", *PRICES, "vol", "amount", "adj_factor")
-    last = before.groupBy("ts_code").agg(F.max_by(bar, "trade_date").alias("bar"))
-    return last.select("ts_code", "bar.*")
+    not written again.  Only codes and days are read to find it."""
+    before = stored.select(*BAR_KEY).join(plan, "ts_code").filter(F.col("trade_date") < F.col("start_date"))
+    days = before.groupBy("ts_code").agg(F.max("trade_date").alias("trade_date"))
+    return bars_at(stored, days).select(*BAR_KEY, *PRICES, "vol", "amount", "adj_factor")
 
 
 def refreshed_adjustment(rows: DataFrame, affected: DataFrame) -> DataFrame:
     """Adjustment columns of affected instruments, computed over their whole history.
 
     A new last factor moves the anchor of all earlier adjusted prices."""
-    scope = rows.join(affected.select("ts_code").distinct(), "ts_code", "left_semi")
+    scope = rows.join(affected.select("ts_code"), "ts_code", "left_semi")
     factor = F.coalesce("adj_factor", F.first("adj_factor", ignorenulls=True).over(whole_series()))
     anchored = scope.withColumns(
         {"adj_factor": factor, "anchor": F.last("adj_factor", ignorenulls=True).over(whole_series())}
@@ -71,17 +78,15 @@ def refreshed_adjustment(rows: DataFrame, affected: DataFrame) -> DataFrame:
 def incremental_batch(
     stored: DataFrame,
     landed: DataFrame,
-    pool: DataFrame,
+    plan: DataFrame,
     factors: DataFrame,
     open_days: DataFrame,
-    base_start: str,
     end: str,
     max_daily_pct: float = 15.0,
 ) -> DataFrame:
     """Clean rows of the read-again window, ready to be upserted.
 
     ``landed`` carries ``ingest_seq`` and the bar columns."""
-    plan = incremental_plan(pool, stored, base_start, end)
     window = select_window(landed, plan, end)
     context = context_rows(stored, plan)
     # the context bar's own factor joins the feed, so fills continue from it
@@ -94,10 +99,12 @@ def incremental_batch(
     return fresh.drop("start_date")
 
 
-def latest_factor(bars: DataFrame, name: str) -> DataFrame:
-    """The factor each instrument's adjusted prices are anchored to."""
-    dated = F.when(F.col("adj_factor").isNotNull(), F.col("trade_date"))
-    return bars.groupBy("ts_code").agg(F.max_by("adj_factor", dated).alias(name))
+def latest_factor(bars: DataFrame, plan: DataFrame, name: str) -> DataFrame:
+    """The factor that anchors each planned instrument's adjusted prices: the one of its
+    last bar, since stored factors are carried forward."""
+    last = latest_date_by_stock(bars).withColumnRenamed("latest_date", "trade_date")
+    planned = last.join(plan.select("ts_code"), "ts_code", "left_semi")
+    return bars_at(bars, planned).select("ts_code", F.col("adj_factor").alias(name))
 
 
 def run_incremental(
@@ -114,25 +121,29 @@ def run_incremental(
     """Read the window again, clean, upsert; then redo the adjusted prices a new factor moved.
 
     Returns the number of bars written from the window.  Instruments whose anchor stayed
-    keep their stored adjusted prices."""
+    keep their stored adjusted prices.  Plan and anchors (a row per instrument each) are
+    kept in tables of their own, because the bars they come from are rewritten."""
     stored = read_table(spark, path, DAILY_KLINE)
-    # one small row per instrument, kept in a table because the bars are rewritten below
-    anchors = f"{path.rstrip('/')}__anchors"
-    latest_factor(stored, "anchor_before").write.mode("overwrite").parquet(anchors)
+    plan = _kept(spark, incremental_plan(pool, stored, base_start, end), f"{path}__plan")
+    anchors = _kept(spark, latest_factor(stored, plan, "anchor_before"), f"{path}__anchors")
 
-    batch = incremental_batch(stored, landed, pool, factors, open_days, base_start, end, max_daily_pct)
-    written = upsert(spark, path, DAILY_KLINE, batch)
+    batch = incremental_batch(stored, landed, plan, factors, open_days, end, max_daily_pct)
+    written = upsert(spark, path, DAILY_KLINE, batch, unique=True)
 
     merged = read_table(spark, path, DAILY_KLINE)
-    moved = (
-        latest_factor(merged, "anchor_after")
-        .join(spark.read.parquet(anchors), "ts_code", "left")
-        .filter(~F.col("anchor_after").eqNullSafe(F.col("anchor_before")))
-    )
-    upsert(spark, path, DAILY_KLINE, refreshed_adjustment(merged, moved))
+    changed = ~F.col("anchor_after").eqNullSafe(F.col("anchor_before"))
+    after = latest_factor(merged, plan, "anchor_after").join(anchors, "ts_code", "left")
+    moved = _kept(spark, after.filter(changed).select("ts_code"), f"{path}__moved")
+    if not moved.isEmpty():
+        upsert(spark, path, DAILY_KLINE, refreshed_adjustment(merged, moved), unique=True)
     return written
 
 
+def _kept(spark: SparkSession, rows: DataFrame, path: str) -> DataFrame:
+    rows.write.mode("overwrite").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def run_full_refresh(
     spark: SparkSession,
     path: str,
@@ -147,4 +158,4 @@ def run_full_refresh(
     """Read everything since ``base_start`` again, whatever is stored, and upsert it."""
     plan = incremental_plan(pool, None, base_start, end)
     window = select_window(landed, plan, end)
-    return upsert(spark, path, DAILY_KLINE, clean_and_adjust(window, factors, open_days, max_daily_pct, order=None))
+    return upsert(spark, path, DAILY_KLINE, clean_and_adjust(window, factors, open_days, max_daily_pct, order=None), unique=True)

@@ -180,8 +180,8 @@ PIPELINE_LOG = TableSpec(
         (_DBL, "duration_sec"),
     ),
     key=("id",),
-    partition="run_month",
-    partition_value=month_of("run_date"),
+    partition="run_year",
+    partition_value=year_of("run_date"),
 )
 
 TABLES = {

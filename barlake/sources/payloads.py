@@ -62,17 +62,15 @@ def nested_array_bars(
     market = F.try_element_at(
         F.create_map(*[F.lit(x) for item in MARKET_BY_FIRST_DIGIT.items() for x in item]), F.substring("symbol", 1, 1)
     )
-    quote = F.try_element_at(F.col("body.data"), F.concat(market, F.col("symbol")))
-    items = F.filter(quote[DAY_KEY[price_type]], lambda item: F.size(item) >= 6)
+    quote = F.try_element_at(body["data"], F.concat(market, F.col("symbol")))
+    good = F.when(body["code"] == 0, quote[DAY_KEY[price_type]])
+    parsed = F.transform(F.filter(good, lambda item: F.size(item) >= 6), _nested_item)
     # the previous bar is looked up inside the response's own array: no shuffle
-    parsed = F.transform(items, _nested_item)
     with_previous = F.transform(
         "bars", lambda bar, i: F.struct(bar.alias("bar"), F.get("bars", i - 1)["close"].alias("previous"))
     )
     bars = (
-        payloads.withColumn("body", body)
-        .filter(F.col("body.code") == 0)
-        .select("symbol", F.array_sort(parsed).alias("bars"))
+        payloads.select("symbol", F.array_sort(parsed).alias("bars"))
         .select("symbol", F.inline(with_previous))
         .select(
             ts_code_of("symbol").alias("ts_code"),

@@ -78,36 +78,42 @@ def upsert(
     columns: list[str] | None = None,
     order: str | None = None,
     required: tuple[str, ...] = (),
+    unique: bool = False,
 ) -> int:
-    """Insert or update by primary key; returns the number of distinct keys written.
+    """Insert or update by primary key; returns the number of keys written.
 
-    ``columns`` defaults to the table columns the batch has.  If the batch may repeat a
-    key, ``order`` names the arrival order and the first row wins."""
+    ``columns`` defaults to the table columns the batch has.  If the batch repeats a key
+    the first row wins: first by ``order``, or else as the batch is read.  ``unique=True``
+    vouches for one row per key and saves that step's shuffle."""
     require_columns(batch.columns, [*spec.key, *required], spec.name)
     written = [c for c in (columns or batch.columns) if c in spec.columns and c not in spec.key]
     typed = [F.col(c).cast(spec.schema[c].dataType).alias(c) for c in (*spec.key, *written)]
-    rows = batch.select(*typed, *([order] if order else []))
-    if order:
-        rows = dedup_first(rows, spec.key, order).drop(order)
-    _stage(rows.withColumn(spec.partition, spec.partition_value()), path)
-    staged = spark.read.parquet(_staging(path))
+    if unique:
+        rows = batch.select(*typed)
+    else:
+        arrival = F.col(order) if order else F.monotonically_increasing_id()
+        rows = dedup_first(batch.select(*typed, arrival.alias("arrival")), spec.key, "arrival").drop("arrival")
+    staged = _stage(spark, rows.withColumn(spec.partition, spec.partition_value()), path)
 
     # one value per month or year in the batch: a short list by construction
     touched = [r[0] for r in staged.select(spec.partition).distinct().collect()]
     if not touched:
         return 0
     table = read_table(spark, path, spec).filter(F.col(spec.partition).isin(touched))
-    merged = merge(table.select(*spec.columns), staged.drop(spec.partition), spec, written)
-    write_partitions(merged, path, spec)
+    write_partitions(merge(table, staged.drop(spec.partition), spec, written), path, spec)
     return staged.count()
 
 
 def write_partitions(rows: DataFrame, path: str, spec: TableSpec) -> None:
-    """Replace exactly the storage partitions that occur in ``rows``."""
+    """Replace exactly the storage partitions that occur in ``rows``.
+
+    Files are sorted by key, so that row-group statistics serve lookups by instrument."""
     typed = [F.col(c).cast(spec.schema[c].dataType).alias(c) for c in spec.columns]
-    partitioned = rows.select(*typed).withColumn(spec.partition, spec.partition_value())
     (
-        partitioned.hint("rebalance", spec.partition)
+        rows.select(*typed)
+        .withColumn(spec.partition, spec.partition_value())
+        .hint("rebalance", spec.partition)
+        .sortWithinPartitions(spec.partition, *spec.key)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(spec.partition)
@@ -122,9 +128,8 @@ def rebuild(spark: SparkSession, path: str, spec: TableSpec, rows: DataFrame) ->
     return read_table(spark, path, spec)
 
 
-def _staging(path: str) -> str:
-    return f"{path.rstrip('/')}__staging"
-
-
-def _stage(rows: DataFrame, path: str) -> None:
-    rows.write.mode("overwrite").parquet(_staging(path))
+def _stage(spark: SparkSession, rows: DataFrame, path: str) -> DataFrame:
+    """Write a batch next to its table and read it back."""
+    staging = f"{path.rstrip('/')}__staging"
+    rows.write.mode("overwrite").parquet(staging)
+    return spark.read.schema(rows.schema).parquet(staging)

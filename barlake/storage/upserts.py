@@ -24,9 +24,16 @@ FIXED_BAR_COLUMNS = (
 )
 
 
-def upsert_bars(spark: SparkSession, path: str, batch: DataFrame, columns: list[str] | None = None, order: str | None = None) -> int:
+def upsert_bars(
+    spark: SparkSession,
+    path: str,
+    batch: DataFrame,
+    columns: list[str] | None = None,
+    order: str | None = None,
+    unique: bool = False,
+) -> int:
     """Bars with whatever table columns the batch carries (or the listed ones)."""
-    return upsert(spark, path, DAILY_KLINE, batch, columns, order)
+    return upsert(spark, path, DAILY_KLINE, batch, columns, order, unique=unique)
 
 
 def upsert_bars_fixed(spark: SparkSession, path: str, batch: DataFrame, order: str | None = None) -> int:

@@ -34,6 +34,10 @@ def rows(columns: list[str], data: list[tuple]) -> list[tuple[str, ...]]:
     return sorted(tuple(cell(r[i]) for i in order) for r in data)
 
 
+# Spark and SQL names of the types the queries return
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "date": "DATE"}
+
+
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for table in TABLES:
@@ -58,6 +62,10 @@ def compare(spark, con, sf_dir: str, name: str) -> tuple[str, int, float, float]
     sql_took = time.time() - begin
     if sorted(columns) != sorted(frame.columns):
         return f"COLUMNS {sorted(frame.columns)} <> {sorted(columns)}", len(got), took, sql_took
+    types = {c: TYPES.get(t, t) for c, t in frame.dtypes}
+    sql_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    if types != sql_types:
+        return f"TYPES {types} <> {sql_types}", len(got), took, sql_took
     if got != expected:
         only = [r for r in got if r not in set(expected)][:3], [r for r in expected if r not in set(got)][:3]
         return f"DIFF rows {len(got)} <> {len(expected)}\n   spark {only[0]}\n   sql   {only[1]}", len(got), took, sql_took
