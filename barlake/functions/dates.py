@@ -8,9 +8,13 @@ from barlake.functions.columns import col_of
 
 
 def day(text: Column | str) -> Column:
-    """``YYYYMMDD`` or ``YYYY-MM-DD`` (also with a time part) to a date; otherwise NULL."""
-    head = F.substring(F.regexp_replace(F.trim(col_of(text)), "-", ""), 1, 8)
-    return F.try_to_date(head, "yyyyMMdd")
+    """``YYYYMMDD`` or ``YYYY-MM-DD`` (also with a time part) to a date; otherwise NULL.
+
+    The digits are laid out for the plain date cast, which handles bad text without the
+    exception per row that a format parser raises inside."""
+    digits = F.substring(F.replace(F.trim(col_of(text)), F.lit("-"), F.lit("")), 1, 8)
+    parts = [F.substring(digits, start, size) for start, size in ((1, 4), (5, 2), (7, 2))]
+    return F.when(F.length(digits) == 8, F.concat_ws("-", *parts).try_cast("date"))
 
 
 def request_day(text: Column | str, as_of: Column | str) -> Column:
@@ -37,10 +41,10 @@ def business_days(start: Column | str, end: Column | str) -> Column:
     start, end = col_of(start), col_of(end)
 
     def weekdays_up_to(d: Column) -> Column:
-        # weekdays between Monday 1969-12-29 and d, both included
-        n = F.datediff(d, F.lit("1969-12-29").cast("date")) + F.lit(1)
-        weeks = F.floor(n / F.lit(7))
-        return weeks * 5 + F.least(n - weeks * 7, F.lit(5))
+        # of the n days since Monday 1969-12-29, without the Saturdays and Sundays
+        n = F.datediff(d, F.lit("1969-12-28").cast("date"))
+        return n - F.floor((n + 1) / 7) - F.floor(n / 7)
 
     count = weekdays_up_to(end) - weekdays_up_to(F.date_sub(start, 1))
-    return F.when(count < 0, F.lit(0)).otherwise(count)
+    # the formula runs backwards for an empty range; unknown bounds stay unknown
+    return F.when(start <= end, count).when(start > end, F.lit(0))

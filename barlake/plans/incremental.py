@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from barlake.functions.columns import ratio
 from barlake.operators.lookups import latest_date_by_stock
@@ -31,12 +31,12 @@ def incremental_plan(
     return planned.filter(behind).select("ts_code", start.alias("start_date"))
 
 
-def select_window(landed: DataFrame, plan: DataFrame, end: str) -> DataFrame:
+def select_window(landed: DataFrame, plan: DataFrame, end: str, earliest: Column | None = None) -> DataFrame:
     """Landed bars the plan asks for, one per instrument and day (first arrival).
 
     The earliest day any instrument needs prunes the scan.  Copies are removed before the
     join by instrument, so that a much repeated bar is reduced where it is read."""
-    earliest = plan.agg(F.min("start_date")).scalar()
+    earliest = plan.agg(F.min("start_date")).scalar() if earliest is None else earliest
     in_reach = landed.filter(F.col("trade_date").between(earliest, F.lit(end).cast("date")))
     window = dedup_first(in_reach).drop("ingest_seq").join(plan, "ts_code")
     return window.filter(F.col("trade_date") >= F.col("start_date")).drop("start_date")
@@ -157,5 +157,5 @@ def run_full_refresh(
 ) -> int:
     """Read everything since ``base_start`` again, whatever is stored, and upsert it."""
     plan = incremental_plan(pool, None, base_start, end)
-    window = select_window(landed, plan, end)
+    window = select_window(landed, plan, end, earliest=F.lit(base_start).cast("date"))
     return upsert(spark, path, DAILY_KLINE, clean_and_adjust(window, factors, open_days, max_daily_pct, order=None), unique=True)

@@ -95,13 +95,13 @@ def upsert(
         rows = dedup_first(batch.select(*typed, arrival.alias("arrival")), spec.key, "arrival").drop("arrival")
     staged = _stage(spark, rows.withColumn(spec.partition, spec.partition_value()), path)
 
-    # one value per month or year in the batch: a short list by construction
-    touched = [r[0] for r in staged.select(spec.partition).distinct().collect()]
+    # one row per month or year in the batch: a short list by construction
+    touched = {r[0]: r[1] for r in staged.groupBy(spec.partition).count().collect()}
     if not touched:
         return 0
-    table = read_table(spark, path, spec).filter(F.col(spec.partition).isin(touched))
+    table = read_table(spark, path, spec).filter(F.col(spec.partition).isin(list(touched)))
     write_partitions(merge(table, staged.drop(spec.partition), spec, written), path, spec)
-    return staged.count()
+    return sum(touched.values())
 
 
 def write_partitions(rows: DataFrame, path: str, spec: TableSpec) -> None:

@@ -59,3 +59,10 @@ def test_calendar_parts_and_business_days_match_pandas(frame, spark):
         assert (r.day_of_week, r.week_of_year, r.month, r.year) == (a.dayofweek, a.isocalendar().week, a.month, a.year)
     empty = spark.range(1).select(business_days(F.lit(None).cast("date"), F.lit("2024-01-01").cast("date")).alias("n"))
     assert empty.first().n is None
+
+
+def test_day_accepts_only_whole_dates(frame):
+    texts = ["2024011", "202401", "2024-1-1", "12345678", "20240230", "2024-02-29", " 20240229 ", "2024 1 1", "2024/01/01", "-", ""]
+    got = {r.t: r.d for r in frame("t STRING", [(t,) for t in texts]).select("t", day("t").alias("d")).collect()}
+    leap = dt.date(2024, 2, 29)
+    assert got == {**dict.fromkeys(texts), "2024-02-29": leap, " 20240229 ": leap}

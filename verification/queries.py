@@ -811,14 +811,10 @@ def date_normalize(spark, sf_dir):
         .alias("raw_date"),
         F.when(key % 3 == 0, F.lit("--")).otherwise(F.col("o_totalprice").cast("string")).alias("raw_number"),
     )
-    day = request_day("raw_date", d.AS_OF)
-    return raw.select(
-        "o_orderkey",
-        day.alias("request_date"),
-        F.date_sub(day, 10).alias("overlap_date"),
-        business_days(F.date_sub(day, 10), day).cast("long").alias("business_days"),
-        number("raw_number").alias("price"),
-    )
+    # parsed once, then used by name: the parse is not repeated inside every expression
+    parsed = raw.select("o_orderkey", request_day("raw_date", d.AS_OF).alias("request_date"), number("raw_number").alias("price"))
+    lookback = parsed.withColumn("overlap_date", F.date_sub("request_date", 10))
+    return lookback.withColumn("business_days", business_days("overlap_date", "request_date").cast("long"))
 
 
 @query
