@@ -47,8 +47,6 @@ class TableSpec:
     partition_value: Callable[[], Column]
     # values that a *new* row takes for columns the batch does not carry
     insert_defaults: dict[str, object] = field(default_factory=dict)
-    # columns written on insert only; a later batch does not change them
-    insert_only: tuple[str, ...] = ()
 
     @property
     def columns(self) -> list[str]:
@@ -79,7 +77,6 @@ STOCK_LIST = TableSpec(
     partition="market",
     partition_value=lambda: F.coalesce(F.split_part("ts_code", F.lit("."), F.lit(-1)), F.lit("")),
     insert_defaults={"list_status": "L"},
-    insert_only=("symbol", "created_at", "updated_at"),
 )
 
 DAILY_KLINE = TableSpec(
@@ -165,7 +162,6 @@ TRADE_CALENDAR = TableSpec(
     key=("trade_date",),
     partition="cal_year",
     partition_value=year_of("trade_date"),
-    insert_only=("pretrade_date",),
 )
 
 PIPELINE_LOG = TableSpec(

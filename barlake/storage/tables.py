@@ -41,23 +41,28 @@ def read_bars(spark: SparkSession, path: str, spec: TableSpec, start: str, end:
     return read_table(spark, path, spec).filter(months & F.col("trade_date").between(first, last))
 
 
-def _merged_column(spec: TableSpec, name: str, written: set[str], in_batch: Column, in_table: Column) -> Column:
+def _merged_column(
+    spec: TableSpec, name: str, written: set[str], keep: tuple[str, ...], in_batch: Column, in_table: Column
+) -> Column:
     old, new = F.col(f"t.{name}"), F.col(f"b.{name}")
     default = F.lit(spec.insert_defaults.get(name)).cast(spec.schema[name].dataType)
     if name not in written:
         value = F.when(in_table, old).otherwise(default)
-    elif name in spec.insert_only:
+    elif name in keep:
         value = F.when(in_table, old).otherwise(new)
     else:
         value = F.when(in_batch, new).otherwise(old)
     return value.alias(name)
 
 
-def merge(table: DataFrame, batch: DataFrame, spec: TableSpec, columns: list[str]) -> DataFrame:
+def merge(
+    table: DataFrame, batch: DataFrame, spec: TableSpec, columns: list[str], keep: tuple[str, ...] = ()
+) -> DataFrame:
     """State of ``table`` after upserting ``batch``, both with one row per key.
 
-    ``columns`` are the non-key columns the batch writes, NULLs included.  Other columns
-    keep their stored value; in new rows they take the table's default."""
+    ``columns`` are the non-key columns the batch writes, NULLs included; those in
+    ``keep`` only into new rows.  Other columns keep their stored value; in new rows they
+    take the table's default."""
     key = list(spec.key)
     t = table.withColumn("in_table", F.lit(True)).alias("t")
     b = batch.withColumn("in_batch", F.lit(True)).alias("b")
@@ -65,7 +70,7 @@ def merge(table: DataFrame, batch: DataFrame, spec: TableSpec, columns: list[str
     in_table, in_batch = F.col("in_table").isNotNull(), F.col("in_batch").isNotNull()
     keys = [F.coalesce(f"t.{k}", f"b.{k}").alias(k) for k in key]
     rest = [
-        _merged_column(spec, c, set(columns), in_batch, in_table) for c in spec.columns if c not in key
+        _merged_column(spec, c, set(columns), keep, in_batch, in_table) for c in spec.columns if c not in key
     ]
     return joined.select(*keys, *rest).select(*spec.columns)
 
@@ -79,10 +84,12 @@ def upsert(
     order: str | None = None,
     required: tuple[str, ...] = (),
     unique: bool = False,
+    keep: tuple[str, ...] = (),
 ) -> int:
     """Insert or update by primary key; returns the number of keys written.
 
-    ``columns`` defaults to the table columns the batch has.  If the batch repeats a key
+    ``columns`` defaults to the table columns the batch has; those in ``keep`` are set on
+    insert and not changed later (see :func:`merge`).  If the batch repeats a key
     the first row wins: first by ``order``, or else as the batch is read.  ``unique=True``
     vouches for one row per key and saves that step's shuffle."""
     require_columns(batch.columns, [*spec.key, *required], spec.name)
@@ -100,7 +107,7 @@ def upsert(
     if not touched:
         return 0
     table = read_table(spark, path, spec).filter(F.col(spec.partition).isin(list(touched)))
-    write_partitions(merge(table, staged.drop(spec.partition), spec, written), path, spec)
+    write_partitions(merge(table, staged.drop(spec.partition), spec, written, keep), path, spec)
     return sum(touched.values())
 
 

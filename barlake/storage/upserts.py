@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barlake.functions.dates import calendar_parts
+from barlake.operators.calendar import previous_open_day
+from barlake.operators.quality import report_json
 from barlake.schemas import (
     DAILY_BASIC,
     DAILY_KLINE,
@@ -15,7 +17,7 @@ from barlake.schemas import (
     STOCK_NAME_HISTORY,
     TRADE_CALENDAR,
 )
-from barlake.storage.tables import upsert
+from barlake.storage.tables import read_table, upsert
 
 # The columns of the narrow bar upsert.
 FIXED_BAR_COLUMNS = (
@@ -65,7 +67,16 @@ def upsert_source_audit(spark: SparkSession, path: str, batch: DataFrame, order:
 def upsert_calendar(spark: SparkSession, path: str, batch: DataFrame, order: str | None = None) -> int:
     """Calendar days with their attributes; a stored previous day is not changed."""
     full = batch if "pretrade_date" in batch.columns else batch.withColumn("pretrade_date", F.lit(None).cast("date"))
-    return upsert(spark, path, TRADE_CALENDAR, full.withColumns(calendar_parts("trade_date")), None, order)
+    return upsert(
+        spark, path, TRADE_CALENDAR, full.withColumns(calendar_parts("trade_date")), None, order, keep=("pretrade_date",)
+    )
+
+
+def refresh_previous_days(spark: SparkSession, path: str) -> int:
+    """Set the previous open day of every open day from the calendar as stored now."""
+    stored = read_table(spark, path, TRADE_CALENDAR).select("trade_date", "is_open")
+    known = previous_open_day(stored).filter("is_open = 1").select("trade_date", "pretrade_date")
+    return upsert(spark, path, TRADE_CALENDAR, known, unique=True)
 
 
 def upsert_instruments(spark: SparkSession, path: str, batch: DataFrame, loaded_at: str, order: str | None = None) -> int:
@@ -75,7 +86,7 @@ def upsert_instruments(spark: SparkSession, path: str, batch: DataFrame, loaded_
     full = batch.withColumns(
         {c: F.lit(None).cast(kind) for c, kind in optional.items() if c not in batch.columns}
     ).withColumns({c: F.lit(loaded_at).cast("timestamp") for c in ("created_at", "updated_at")})
-    return upsert(spark, path, STOCK_LIST, full, None, order)
+    return upsert(spark, path, STOCK_LIST, full, None, order, keep=("symbol", "created_at", "updated_at"))
 
 
 def append_run_records(path: str, records: DataFrame) -> None:
@@ -89,3 +100,16 @@ def append_run_records(path: str, records: DataFrame) -> None:
         .partitionBy(PIPELINE_LOG.partition)
         .parquet(path)
     )
+
+
+def save_reports(path: str, report: DataFrame) -> None:
+    """Quality reports as JSON, one folder per day; days reported again are replaced."""
+    (
+        report_json(report)
+        .withColumn("report_date", F.col("date"))
+        .hint("rebalance", "report_date")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("report_date")
+        .json(path)
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -17,20 +17,27 @@ def stream_upsert_bars(
     table: str,
     checkpoint: str,
     order: str = "ingest_seq",
+    landing_id: str | None = None,
     files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Upsert every landed Parquet file once, then stop; run again to pick up new files.
 
     The source remembers its files in ``checkpoint`` (a shared folder).  A batch that is
-    replayed after a failure writes the same rows under the same keys, so nothing
-    doubles; within a batch the first arrival of a key wins, a later batch replaces it."""
+    replayed after a failure writes the same rows under the same keys, so nothing doubles.
+
+    Within one landing the first arrival of a key wins; a later landing replaces it.  If
+    several landings may meet in one batch, ``landing_id`` names an increasing number per
+    landing, and the result does not depend on how files are grouped into batches."""
     init_table(spark, table, DAILY_KLINE)
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        upsert(batch.sparkSession, table, DAILY_KLINE, batch, None, order)
+        if landing_id:
+            newest_first = F.struct((-F.col(landing_id)).alias("newest"), F.col(order))
+            batch = batch.withColumn("arrival_rank", newest_first)
+        upsert(batch.sparkSession, table, DAILY_KLINE, batch, None, "arrival_rank" if landing_id else order)
 
     return (
         reader.parquet(landing)

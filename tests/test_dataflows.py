@@ -94,6 +94,20 @@ def test_stream_reads_each_file_once_and_survives_a_replay(spark, frame):
     assert set(ingest(scratch_path(spark, "lost"))) == set(want)  # everything read again: no doubled keys
 
 
+@pytest.mark.parametrize("files_per_batch", [1, None])
+def test_stream_result_does_not_depend_on_batching(spark, frame, files_per_batch):
+    landing, path = scratch_path(spark, "landing"), scratch_path(spark, "streamed")
+    schema = RAW + ", landing_id INT"
+    bar = lambda p, seq, landed: ("a", "2026-06-15", p, p, p, p, 1.0, 1.0, seq, landed)
+    for rows in ([bar(1.0, 1, 1), bar(2.0, 2, 1)], [bar(4.0, 9, 2), bar(3.0, 8, 2)]):
+        frame(schema, rows).coalesce(1).write.mode("append").parquet(landing)
+    stream = stream_upsert_bars(
+        spark, landing, frame(schema, []).schema, path, scratch_path(spark, "cp"), landing_id="landing_id", files_per_batch=files_per_batch
+    )
+    stream.awaitTermination()
+    assert [r.close for r in tables.read_table(spark, path, DAILY_KLINE).collect()] == [3.0]
+
+
 def plan_text(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 

@@ -358,8 +358,7 @@ def _bar_state(spark, path):
 @query
 def quality_report_json(spark, sf_dir):
     path = scratch_path(spark, "reports")
-    report = quality.report_json(_report(spark, sf_dir))
-    report.withColumn("report_date", F.col("date")).write.partitionBy("report_date").json(path)
+    upserts.save_reports(path, _report(spark, sf_dir))
     shape = (
         "date STRING, stock_count BIGINT, missing_rate MAP<STRING, DOUBLE>, suspension_ratio DOUBLE, "
         "extreme_stats MAP<STRING, STRUCT<count: BIGINT, ratio: DOUBLE>>, date_range STRUCT<min: STRING, max: STRING>, "
