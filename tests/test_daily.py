@@ -76,6 +76,7 @@ def test_tables(store):
 
 def test_sql_views(spark, store):
     root, _, _ = store
+    open_store(spark, root)  # the views are the session's: make sure they show this store
     got = raw_sql(
         spark,
         "SELECT ts_code, exclude_reason FROM research_daily_universe WHERE trade_date = CAST(? AS DATE) ORDER BY ts_code",
