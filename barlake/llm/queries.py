@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from barlake.llm import bpe, packing, planes, quality, simhash, wordpiece
+from barlake.llm import bpe, nearest, packing, pii, planes, quality, shards, simhash, urls, wordpiece
 from barlake.llm.common import table
 from barlake.session import scratch_path
 
@@ -29,6 +30,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.document_verdicts(table(spark, sf_dir, "documents"))
 
 
+def op5_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replaced(table(spark, sf_dir, "documents"))
+
+
 def op6_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "bit-planes")
     planes.write(table(spark, sf_dir, "documents"), path)
@@ -39,6 +44,23 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(table(spark, sf_dir, "pages"))
+
+
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest.search(vectors, F.col("vec_id") % 20 == 0)
+
+
+def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.by_bytes(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_token_counts, op2_byte_bpe, op3_packing, op4_quality, op6_bit_planes, op7_simhash)
-}
+    f.__name__: f
+    for f in (
+        op1_token_counts, op2_byte_bpe, op3_packing, op4_quality, op5_pseudonyms, op6_bit_planes, op7_simhash,
+        op8_url_filter, op9_nearest, op10_shards,
+    )
+}
