@@ -38,7 +38,7 @@ MAX_LISTS = 1 << 14
 SAMPLE_PER_LIST = 24
 REPLICAS = 3
 BOUNDARY = 1.06  # of the distance to the nearest centroid
-PROBES = 160
+PROBES = 256
 RATIO = 2.5
 DEGREE = 16
 #: Rows of a coarse cluster that one task scores, and queries it answers.
