@@ -132,7 +132,7 @@ def write(
     totals = chunks.groupBy("shard").agg(F.sum("n_ids").alias("total"))  # a row per shard, not per document
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("shard", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
-    index = chunks.join(bases, "shard").select(
+    index = chunks.join(F.broadcast(bases), "shard").select(
         "shard",
         "chunk",
         (F.col("base") + F.col("first")).alias("start"),
@@ -155,8 +155,9 @@ def chunk_ids(row) -> np.ndarray:
 
 def _read(spark: SparkSession, path: str, run, schema: str) -> DataFrame:
     on_workers(spark)
-    index = spark.read.parquet(f"{path}/index").select("shard", "chunk", "start")
-    return spark.read.parquet(f"{path}/ids").join(index, ["shard", "chunk"]).mapInArrow(run, schema)
+    bases = spark.read.parquet(f"{path}/index").filter("chunk = 0").select("shard", F.col("start").alias("base"))
+    chunks = spark.read.parquet(f"{path}/ids").join(F.broadcast(bases), "shard")  # a row per shard
+    return chunks.withColumn("start", F.col("base") + F.col("first")).mapInArrow(run, schema)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
