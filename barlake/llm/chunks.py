@@ -16,7 +16,7 @@ import numpy as np
 
 from barlake.llm.common import GROUP_CHARS, grouped
 
-MEMO = 1_000_000
+MEMO = 700_000
 #: Pieces longer than this are encoded every time, so that the memo stays small.
 LONG = 256
 #: Characters of new pieces in one call; the library is slower on long texts.
