@@ -7,14 +7,20 @@ from pyspark.sql import Column, functions as F
 from barlake.functions.columns import col_of
 
 
+# a whole date, and nothing behind it but a time of day with an optional zone
+_WHOLE_DAY = r"^([0-9]{8}|[0-9]{4}-[0-9]{2}-[0-9]{2})([T ][0-9]{1,2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?(Z|[+-][0-9]{2}:?[0-9]{2})?)?$"
+
+
 def day(text: Column | str) -> Column:
     """``YYYYMMDD`` or ``YYYY-MM-DD`` (also with a time part) to a date; otherwise NULL.
 
+    The whole text has to have that form: longer digit runs and one-digit months are NULL.
     The digits are laid out for the plain date cast, which handles bad text without the
     exception per row that a format parser raises inside."""
-    digits = F.substring(F.replace(F.trim(col_of(text)), F.lit("-"), F.lit("")), 1, 8)
+    whole = F.trim(col_of(text))
+    digits = F.substring(F.replace(whole, F.lit("-"), F.lit("")), 1, 8)
     parts = [F.substring(digits, start, size) for start, size in ((1, 4), (5, 2), (7, 2))]
-    return F.when(F.length(digits) == 8, F.concat_ws("-", *parts).try_cast("date"))
+    return F.when(whole.rlike(_WHOLE_DAY), F.concat_ws("-", *parts).try_cast("date"))
 
 
 def request_day(text: Column | str, as_of: Column | str) -> Column:

@@ -5,18 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from barlake.functions.columns import ratio
-from barlake.operators.series import fill_both_ways, whole_series
+from barlake.operators.series import dedup_first, fill_both_ways, whole_series
 from barlake.schemas import BAR_KEY, PRICES
 
 
 def join_factors(bars: DataFrame, factors: DataFrame) -> DataFrame:
     """Attach the factor of the same day; a factor on a day without a bar is not used.
 
-    ``factors`` holds one row per instrument and day.  Any factor column of the bars is
-    replaced."""
-    return bars.drop("adj_factor").join(
-        factors.select(*BAR_KEY, "adj_factor"), list(BAR_KEY), "left"
-    )
+    Of repeated factors of a day the one with the least ``ingest_seq`` counts, or the
+    largest where the feed has no such order, so bars are never multiplied.  Any factor
+    column of the bars is replaced."""
+    if "ingest_seq" in factors.columns:
+        each = dedup_first(factors.select(*BAR_KEY, "adj_factor", "ingest_seq")).drop("ingest_seq")
+    else:
+        each = factors.groupBy(*BAR_KEY).agg(F.max("adj_factor").alias("adj_factor"))
+    return bars.drop("adj_factor").join(each, list(BAR_KEY), "left")
 
 
 def adjust_prices(bars: DataFrame, factors: DataFrame | None, method: str = "hfq") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
+from pyspark.sql.types import IntegralType
 
 from barlake.functions.columns import ratio, true_only
 
@@ -34,12 +35,17 @@ def dedup_first(
 ) -> DataFrame:
     """One row per key: the one that arrived first.
 
-    ``order`` must not repeat within a key.  An aggregation rather than ``row_number``:
-    map tasks reduce their copies of a key to one row before anything is shuffled."""
+    ``order`` must not repeat within a key; rows without one come last.  An aggregation
+    rather than ``row_number``: map tasks reduce their copies of a key to one row before
+    anything is shuffled."""
     keys = list(keys)
     others = [c for c in df.columns if c not in keys and c != order]
+    if isinstance(df.schema[order].dataType, IntegralType):
+        arrival = F.coalesce(F.col(order).cast("long"), F.lit((1 << 63) - 1))
+    else:
+        arrival = F.struct(F.col(order).isNull(), F.col(order))
     first = df.groupBy(*keys).agg(
-        *[F.min_by(c, order).alias(c) for c in others], F.min(order).alias(order)
+        *[F.min_by(F.col(c), arrival).alias(c) for c in others], F.min(order).alias(order)
     )
     return first.select(*df.columns)
 

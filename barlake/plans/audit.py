@@ -1,4 +1,4 @@
-"""Source audit of the first codes of the pool over the last days."""
+"""Source audit of the pool over the last days."""
 
 from __future__ import annotations
 
@@ -16,12 +16,13 @@ def sampled_source_audit(
     secondary: DataFrame,
     end: str,
     audit_date: str,
-    sample_size: int = 10,
+    sample_size: int | None = None,
     lookback_days: int = 5,
     tolerance_pct: float = 1.0,
 ) -> DataFrame:
-    """One grouped job over the sampled codes; the sample reaches both scans as a semi join."""
-    codes = head_codes(pool, sample_size)
+    """One grouped job over the whole pool, or its first ``sample_size`` codes; the codes
+    reach both scans as a semi join."""
+    codes = pool.select("ts_code").distinct() if sample_size is None else head_codes(pool, sample_size)
     start = (date.fromisoformat(end) - timedelta(days=lookback_days)).isoformat()
     return audit_sources(
         codes,

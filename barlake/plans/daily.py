@@ -12,16 +12,21 @@ from barlake.operators.runs import run_status, run_tallies
 from barlake.operators.universe import stock_pool
 from barlake.plans.audit import sampled_source_audit
 from barlake.plans.incremental import incremental_plan, run_full_refresh, run_incremental
-from barlake.session import scratch_path
 from barlake.storage import upserts
 from barlake.storage.store import init_store, open_store, table_path
 
 
-# Error text of an instrument without landed rows, and how many are logged.
+# Error text of an instrument without landed rows, and how many the log's message
+# names.  The outcome of every instrument is in the table of outcomes.
 TEXT_NO_ROWS = "数据源返回空数据"
 MAX_ERRORS = 10
 
 
+def outcomes_path(root: str, run_id: int) -> str:
+    """Table of (``ts_code``, ``outcome``, ``n_rows``) of one run, a row per pool instrument."""
+    return f"{root.rstrip('/')}/run_outcomes/run_id={run_id}"
+
+
 @dataclass(frozen=True)
 class Feeds:
     """Landed and normalised inputs of a run; optional ones may be missing."""
@@ -43,7 +48,8 @@ class Settings:
     exclude_ipo_within_days: int = 60
     max_daily_pct: float = 15.0
     rules: QualityRules = field(default_factory=QualityRules)
-    audit_sample: int = 10
+    audit_sample: int | None = None  # None: the whole pool
+    history_on_full_refresh_only: bool = True
     audit_lookback_days: int = 5
 
 
@@ -60,7 +66,7 @@ def daily_run(
 ) -> str:
     """Run all steps for ``day``; returns ``success``, ``partial`` or ``failed``.
 
-    Name history is taken in on a full refresh only.  Times are arguments, so that a run
+    Name history is taken in on a full refresh only, unless the settings say otherwise.  Times are arguments, so that a run
     can be repeated; without ``ended_at`` the clock gives the end.  An exception is logged
     as a failed run and raised again."""
     init_store(spark, root)
@@ -95,7 +101,7 @@ def _steps(
     upserts.upsert_calendar(spark, path("trade_calendar"), feeds.calendar)
     upserts.refresh_previous_days(spark, path("trade_calendar"))
     upserts.upsert_instruments(spark, path("stock_list"), feeds.instruments, started_at)
-    if feeds.name_history is not None and full_refresh:
+    if feeds.name_history is not None and (full_refresh or not settings.history_on_full_refresh_only):
         upserts.upsert_name_history(spark, path("stock_name_history"), feeds.name_history)
     if feeds.basics is not None:
         upserts.upsert_daily_basic(spark, path("daily_basic"), feeds.basics)
@@ -105,9 +111,9 @@ def _steps(
     store = open_store(spark, root)
     pool = stock_pool(store["stock_list"], day, list(settings.include_exchanges), True, settings.exclude_ipo_within_days)
     open_days = store["trade_calendar"].filter("is_open = 1").select("trade_date")
-    outcomes = scratch_path(spark, "outcomes")
+    outcomes = outcomes_path(root, run_id)
     stored = None if full_refresh else store["daily_kline"]
-    _outcomes(pool, feeds.bars, incremental_plan(pool, stored, settings.base_start, day), day).write.parquet(outcomes)
+    _outcomes(pool, feeds.bars, incremental_plan(pool, stored, settings.base_start, day), day).write.mode("overwrite").parquet(outcomes)
     step = run_full_refresh if full_refresh else run_incremental
     step(
         spark, path("daily_kline"), feeds.bars, pool, feeds.factors, open_days,
@@ -133,14 +139,17 @@ def _steps(
         F.to_json(F.struct("*")).alias("quality_report"),
     )
     message = F.concat("ts_code", F.lit(f": {TEXT_NO_ROWS}"))
-    failed = results.filter("outcome = 'failed'").orderBy("ts_code").limit(MAX_ERRORS).select(message.alias("message"))
+    every = results.filter("outcome = 'failed'")
+    failed = every.orderBy("ts_code").limit(MAX_ERRORS).select(message.alias("message"))
     errors = failed.agg(F.array_join(F.array_sort(F.collect_list("message")), "; ").alias("joined"))
+    beyond = F.when(F.count("*") > MAX_ERRORS, F.concat(F.lit("; "), F.count("*"), F.lit(" failed")))
+    more = every.agg(F.coalesce(beyond, F.lit("")).alias("more"))
     return (
         run.join(tallies, "id", "left")
         .join(document, "id", "left")
         .fillna(0, ["stocks_fetched", "stocks_cleaned", "stocks_failed", "stocks_up_to_date"])
         .withColumn("status", run_status(F.col("report_status")))
-        .withColumn("error_msg", F.nullif(errors.scalar(), F.lit("")))
+        .withColumn("error_msg", F.nullif(F.concat(errors.scalar(), more.scalar()), F.lit("")))
     )
 
 

@@ -122,11 +122,17 @@ def run_incremental(
 
     Returns the number of bars written from the window.  Instruments whose anchor stayed
     keep their stored adjusted prices.  Plan and anchors (a row per instrument each) are
-    kept in tables of their own, because the bars they come from are rewritten."""
+    kept in tables of their own, because the bars they come from are rewritten.
+
+    Before bars are merged, the planned instruments are noted as pending; the note goes when
+    their adjusted prices are right.  A run that finds a note of one that broke off in
+    between first redoes the adjusted prices of those instruments."""
+    _finish_pending(spark, path)
     stored = read_table(spark, path, DAILY_KLINE)
     plan = _kept(spark, incremental_plan(pool, stored, base_start, end), f"{path}__plan")
     anchors = _kept(spark, latest_factor(stored, plan, "anchor_before"), f"{path}__anchors")
 
+    _kept(spark, plan.select("ts_code"), _pending_path(path))
     batch = incremental_batch(stored, landed, plan, factors, open_days, end, max_daily_pct)
     written = upsert(spark, path, DAILY_KLINE, batch, unique=True)
 
@@ -136,9 +142,24 @@ def run_incremental(
     moved = _kept(spark, after.filter(changed).select("ts_code"), f"{path}__moved")
     if not moved.isEmpty():
         upsert(spark, path, DAILY_KLINE, refreshed_adjustment(merged, moved), unique=True)
+    _kept(spark, plan.select("ts_code").filter("false"), _pending_path(path))
     return written
 
 
+def _pending_path(path: str) -> str:
+    return f"{path.rstrip('/')}__pending"
+
+
+def _finish_pending(spark: SparkSession, path: str) -> None:
+    """Adjusted prices of the instruments that an earlier run left half done."""
+    spark.createDataFrame([], "ts_code STRING").write.mode("ignore").parquet(_pending_path(path))
+    pending = spark.read.schema("ts_code STRING").parquet(_pending_path(path))
+    if not pending.isEmpty():
+        stored = read_table(spark, path, DAILY_KLINE)
+        upsert(spark, path, DAILY_KLINE, refreshed_adjustment(stored, pending), unique=True)
+        _kept(spark, pending.filter("false"), f"{path.rstrip('/')}__pending")
+
+
 def _kept(spark: SparkSession, rows: DataFrame, path: str) -> DataFrame:
     rows.write.mode("overwrite").parquet(path)
     return spark.read.schema(rows.schema).parquet(path)

@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import (
     BooleanType,
+    DataType,
     DateType,
     DoubleType,
     IntegerType,
@@ -28,10 +29,8 @@ RAW_PRICES = tuple(f"raw_{p}" for p in PRICES)
 BAR_KEY = ("ts_code", "trade_date")
 
 
-def _struct(*groups: tuple[object, str]) -> StructType:
-    return StructType(
-        [StructField(name, dtype, True) for dtype, names in groups for name in names.split()]
-    )
+def _struct(columns: list[tuple[str, DataType]]) -> StructType:
+    return StructType([StructField(name, dtype, True) for name, dtype in columns])
 
 
 _STR, _DBL, _DAY = StringType(), DoubleType(), DateType()
@@ -61,33 +60,67 @@ def month_of(column: str) -> Callable[[], Column]:
     return lambda: F.date_format(column, "yyyy-MM")
 
 
+def market_of(column: str) -> Column:
+    """The suffix of a code; unknown or missing suffixes share one partition."""
+    suffix = F.split_part(column, F.lit("."), F.lit(-1))
+    return F.when(suffix.isin("SZ", "SH", "BJ"), suffix).otherwise(F.lit("other"))
+
+
 def year_of(column: str) -> Callable[[], Column]:
     return lambda: F.date_format(column, "yyyy")
 
 
+# Names, types and order of the columns of all tables.
 STOCK_LIST = TableSpec(
     "stock_list",
     _struct(
-        (_STR, "ts_code symbol name exchange area industry"),
-        (_DAY, "list_date delist_date"),
-        (_STR, "list_status"),
-        (_TS, "created_at updated_at"),
+        [
+            ("ts_code", _STR),
+            ("symbol", _STR),
+            ("name", _STR),
+            ("exchange", _STR),
+            ("area", _STR),
+            ("industry", _STR),
+            ("list_date", _DAY),
+            ("delist_date", _DAY),
+            ("list_status", _STR),
+            ("created_at", _TS),
+            ("updated_at", _TS),
+        ]
     ),
     key=("ts_code",),
     partition="market",
-    partition_value=lambda: F.coalesce(F.split_part("ts_code", F.lit("."), F.lit(-1)), F.lit("")),
+    partition_value=lambda: market_of("ts_code"),
     insert_defaults={"list_status": "L"},
 )
 
 DAILY_KLINE = TableSpec(
     "daily_kline",
     _struct(
-        (_STR, "ts_code"),
-        (_DAY, "trade_date"),
-        (_DBL, "open high low close vol amount pct_chg adj_factor"),
-        (_DBL, " ".join(("adj_open_qfq", "adj_high_qfq", "adj_low_qfq", "adj_close_qfq"))),
-        (_DBL, " ".join(RAW_PRICES)),
-        (_BOOL, " ".join(FLAGS)),
+        [
+            ("ts_code", _STR),
+            ("trade_date", _DAY),
+            ("open", _DBL),
+            ("high", _DBL),
+            ("low", _DBL),
+            ("close", _DBL),
+            ("vol", _DBL),
+            ("amount", _DBL),
+            ("pct_chg", _DBL),
+            ("adj_factor", _DBL),
+            ("adj_open_qfq", _DBL),
+            ("adj_high_qfq", _DBL),
+            ("adj_low_qfq", _DBL),
+            ("adj_close_qfq", _DBL),
+            ("raw_open", _DBL),
+            ("raw_high", _DBL),
+            ("raw_low", _DBL),
+            ("raw_close", _DBL),
+            ("flag_extreme", _BOOL),
+            ("flag_suspended", _BOOL),
+            ("flag_aligned", _BOOL),
+            ("flag_invalid_ohlc", _BOOL),
+        ]
     ),
     key=BAR_KEY,
     partition="trade_month",
@@ -98,9 +131,17 @@ DAILY_KLINE = TableSpec(
 DAILY_BASIC = TableSpec(
     "daily_basic",
     _struct(
-        (_STR, "ts_code"),
-        (_DAY, "trade_date"),
-        (_DBL, "pe pe_ttm pb turnover_rate volume_ratio circ_mv total_mv"),
+        [
+            ("ts_code", _STR),
+            ("trade_date", _DAY),
+            ("pe", _DBL),
+            ("pe_ttm", _DBL),
+            ("pb", _DBL),
+            ("turnover_rate", _DBL),
+            ("volume_ratio", _DBL),
+            ("circ_mv", _DBL),
+            ("total_mv", _DBL),
+        ]
     ),
     key=BAR_KEY,
     partition="trade_month",
@@ -110,13 +151,21 @@ DAILY_BASIC = TableSpec(
 FINANCIAL_INDICATORS = TableSpec(
     "financial_indicators",
     _struct(
-        (_STR, "ts_code"),
-        (_DAY, "ann_date end_date"),
-        (
-            _DBL,
-            "eps bps roe roe_waa profit_yoy revenue_yoy free_cashflow"
-            " gross_margin net_margin dt_debt_ratio",
-        ),
+        [
+            ("ts_code", _STR),
+            ("ann_date", _DAY),
+            ("end_date", _DAY),
+            ("eps", _DBL),
+            ("bps", _DBL),
+            ("roe", _DBL),
+            ("roe_waa", _DBL),
+            ("profit_yoy", _DBL),
+            ("revenue_yoy", _DBL),
+            ("free_cashflow", _DBL),
+            ("gross_margin", _DBL),
+            ("net_margin", _DBL),
+            ("dt_debt_ratio", _DBL),
+        ]
     ),
     key=("ts_code", "ann_date"),
     partition="ann_year",
@@ -126,7 +175,14 @@ FINANCIAL_INDICATORS = TableSpec(
 STOCK_NAME_HISTORY = TableSpec(
     "stock_name_history",
     _struct(
-        (_STR, "ts_code name"), (_DAY, "start_date end_date"), (_STR, "change_reason"), (_BOOL, "is_st")
+        [
+            ("ts_code", _STR),
+            ("name", _STR),
+            ("start_date", _DAY),
+            ("end_date", _DAY),
+            ("change_reason", _STR),
+            ("is_st", _BOOL),
+        ]
     ),
     key=("ts_code", "start_date", "name"),
     partition="start_year",
@@ -137,13 +193,18 @@ STOCK_NAME_HISTORY = TableSpec(
 DATA_SOURCE_AUDIT = TableSpec(
     "data_source_audit",
     _struct(
-        (_DAY, "audit_date"),
-        (_STR, "ts_code"),
-        (_DAY, "start_date end_date"),
-        (_STR, "primary_source secondary_source"),
-        (_INT, "compared_rows"),
-        (_DBL, "max_close_diff_pct"),
-        (_STR, "status error_msg"),
+        [
+            ("audit_date", _DAY),
+            ("ts_code", _STR),
+            ("start_date", _DAY),
+            ("end_date", _DAY),
+            ("primary_source", _STR),
+            ("secondary_source", _STR),
+            ("compared_rows", _INT),
+            ("max_close_diff_pct", _DBL),
+            ("status", _STR),
+            ("error_msg", _STR),
+        ]
     ),
     key=("audit_date", "ts_code", "primary_source", "secondary_source"),
     partition="audit_month",
@@ -154,10 +215,15 @@ DATA_SOURCE_AUDIT = TableSpec(
 TRADE_CALENDAR = TableSpec(
     "trade_calendar",
     _struct(
-        (_DAY, "trade_date"),
-        (_INT, "is_open"),
-        (_DAY, "pretrade_date"),
-        (_INT, "day_of_week week_of_year month year"),
+        [
+            ("trade_date", _DAY),
+            ("is_open", _INT),
+            ("pretrade_date", _DAY),
+            ("day_of_week", _INT),
+            ("week_of_year", _INT),
+            ("month", _INT),
+            ("year", _INT),
+        ]
     ),
     key=("trade_date",),
     partition="cal_year",
@@ -167,13 +233,18 @@ TRADE_CALENDAR = TableSpec(
 PIPELINE_LOG = TableSpec(
     "pipeline_log",
     _struct(
-        (_LONG, "id"),
-        (_DAY, "run_date"),
-        (_TS, "start_time end_time"),
-        (_STR, "status"),
-        (_INT, "stocks_fetched stocks_cleaned"),
-        (_STR, "error_msg quality_report"),
-        (_DBL, "duration_sec"),
+        [
+            ("id", _LONG),
+            ("run_date", _DAY),
+            ("start_time", _TS),
+            ("end_time", _TS),
+            ("status", _STR),
+            ("stocks_fetched", _INT),
+            ("stocks_cleaned", _INT),
+            ("error_msg", _STR),
+            ("quality_report", _STR),
+            ("duration_sec", _DBL),
+        ]
     ),
     key=("id",),
     partition="run_year",

@@ -46,8 +46,11 @@ def localized_bars(frame: DataFrame) -> DataFrame:
 
 
 def read_localized_bars(spark: SparkSession, path: str) -> DataFrame:
-    """CSV files with localised headers and a ``symbol`` column; all columns read as text."""
-    return localized_bars(spark.read.csv(path, header=True))
+    """CSV files with localised headers and a ``symbol`` column; all columns read as text.
+
+    Files whose header differs from the first one's in names or order are refused, not read
+    into the wrong columns."""
+    return localized_bars(spark.read.csv(path, header=True, enforceSchema=False))
 
 
 def dated_string_bars(frame: DataFrame) -> DataFrame:

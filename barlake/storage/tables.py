@@ -15,6 +15,9 @@ of the batch is split over several tasks and files, and small months share a tas
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from barlake.operators.series import dedup_first
@@ -34,6 +37,18 @@ def read_table(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     return stored.withColumns({f: F.coalesce(f, F.lit(False)) for f in FLAGS if f in spec.columns})
 
 
+def rejected_path(path: str) -> str:
+    """Where the rows refused by upserts into the table at ``path`` are kept."""
+    return f"{path.rstrip('/')}__rejected"
+
+
+def rejected_rows(spark: SparkSession, path: str) -> DataFrame:
+    """``table_name``, ``reason`` and the row as JSON; empty if nothing was ever refused."""
+    schema = "table_name STRING, reason STRING, row STRING"
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(rejected_path(path))
+    return spark.read.schema(schema).parquet(rejected_path(path))
+
+
 def read_bars(spark: SparkSession, path: str, spec: TableSpec, start: str, end: str) -> DataFrame:
     """A range of days, with the matching month filter for partition pruning."""
     first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
@@ -90,20 +105,36 @@ def upsert(
 
     ``columns`` defaults to the table columns the batch has; those in ``keep`` are set on
     insert and not changed later (see :func:`merge`).  If the batch repeats a key
-    the first row wins: first by ``order``, or else as the batch is read.  ``unique=True``
-    vouches for one row per key and saves that step's shuffle."""
+    the first row wins: first by ``order``, or else by a hash of the written values, so that
+    the choice does not depend on how the batch is partitioned.  ``unique=True`` says that
+    there is one row per key; a batch that breaks this is refused before anything is written.
+
+    Rows with a NULL in the key never reach the table: they are added to the table of
+    rejected rows (:func:`rejected_path`), with the reason."""
     require_columns(batch.columns, [*spec.key, *required], spec.name)
     written = [c for c in (columns or batch.columns) if c in spec.columns and c not in spec.key]
     typed = [F.col(c).cast(spec.schema[c].dataType).alias(c) for c in (*spec.key, *written)]
     if unique:
         rows = batch.select(*typed)
     else:
-        arrival = F.col(order) if order else F.monotonically_increasing_id()
-        rows = dedup_first(batch.select(*typed, arrival.alias("arrival")), spec.key, "arrival").drop("arrival")
+        content = F.xxhash64(*[c for c in (*spec.key, *written)])
+        rows = batch.select(*typed, *([F.col(order).alias("arrival")] if order else []))
+        rows = dedup_first(rows if order else rows.withColumn("arrival", content), spec.key, "arrival").drop("arrival")
     staged = _stage(spark, rows.withColumn(spec.partition, spec.partition_value()), path)
+    unknown = reduce(or_, [F.col(k).isNull() for k in spec.key])
 
     # one row per month or year in the batch: a short list by construction
-    touched = {r[0]: r[1] for r in staged.groupBy(spec.partition).count().collect()}
+    each = staged.groupBy(spec.partition, *spec.key).agg(F.count("*").alias("n"))
+    counts = each.groupBy(spec.partition, unknown.alias("unknown")).agg(F.sum("n").alias("n"), F.max("n").alias("most"))
+    counts = counts.collect()
+    if any(r["most"] > 1 and not r["unknown"] for r in counts):
+        raise ValueError(f"{spec.name}: the batch repeats a key; nothing was written")
+    if any(r["unknown"] for r in counts):
+        reason = F.lit(f"no value in the key ({', '.join(spec.key)})")
+        refused = staged.filter(unknown).select(F.lit(spec.name).alias("table_name"), reason.alias("reason"), F.to_json(F.struct(*spec.key, *written)).alias("row"))
+        refused.write.mode("append").parquet(rejected_path(path))
+        staged = staged.filter(~unknown)
+    touched = {r[spec.partition]: r["n"] for r in counts if not r["unknown"]}
     if not touched:
         return 0
     table = read_table(spark, path, spec).filter(F.col(spec.partition).isin(list(touched)))

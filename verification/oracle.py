@@ -556,7 +556,7 @@ BODIES: dict[str, str] = {
     "date_normalize": """SELECT o_orderkey, request_date, request_date - 10 AS overlap_date,
         (SELECT count(*) FROM (SELECT unnest(generate_series(0, 10)) AS k) WHERE isodow(request_date - CAST(k AS INT)) < 6
             AND request_date IS NOT NULL) + CASE WHEN request_date IS NULL THEN NULL ELSE 0 END AS business_days, price
-        FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 4 IN (0, 1) THEN CAST(o_orderdate AS DATE)
+        FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 4 IN (0, 1) OR o_orderkey % 16 = 15 THEN CAST(o_orderdate AS DATE)
             WHEN o_orderkey % 4 = 2 THEN DATE '2024-02-01' END AS request_date,
             CASE WHEN o_orderkey % 3 <> 0 THEN o_totalprice END AS price FROM orders)""",
     "calendar_parts": """SELECT trade_date, is_open, CAST(isodow(trade_date) - 1 AS INT) AS day_of_week,

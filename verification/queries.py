@@ -646,7 +646,7 @@ def _audit(spark, sf_dir, start, end, audit_date, codes=None):
 
 @query
 def source_audit(spark, sf_dir):
-    return _audit(spark, sf_dir, "2024-01-10", "2024-01-25", d.AS_OF)
+    return _audit(spark, sf_dir, "2024-01-10", "2024-01-25", d.AS_OF, sample_size=10)
 
 
 @query
@@ -806,6 +806,9 @@ def date_normalize(spark, sf_dir):
         F.when(key % 4 == 0, F.date_format("o_orderdate", "yyyyMMdd"))
         .when(key % 4 == 1, F.date_format("o_orderdate", "yyyy-MM-dd"))
         .when(key % 4 == 2, F.lit("Today"))
+        .when(key % 16 == 7, F.concat(F.date_format("o_orderdate", "yyyyMMdd"), F.lit("9")))
+        .when(key % 16 == 11, F.lit("2024-1-15 10:00"))
+        .when(key % 16 == 15, F.concat(F.lit(" "), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(" 10:00:00 ")))
         .otherwise(F.lit("n/a"))
         .alias("raw_date"),
         F.when(key % 3 == 0, F.lit("--")).otherwise(F.col("o_totalprice").cast("string")).alias("raw_number"),
