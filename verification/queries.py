@@ -646,7 +646,7 @@ def _audit(spark, sf_dir, start, end, audit_date, codes=None):
 
 @query
 def source_audit(spark, sf_dir):
-    return _audit(spark, sf_dir, "2024-01-10", "2024-01-25", d.AS_OF, sample_size=10)
+    return _audit(spark, sf_dir, "2024-01-10", "2024-01-25", d.AS_OF)
 
 
 @query
@@ -875,7 +875,7 @@ def incremental_merge(spark, sf_dir):
 @query
 def source_audit_sample(spark, sf_dir):
     pool = universe.stock_pool(d.instruments(spark, sf_dir), "2024-03-01", ["SZSE", "SSE"])
-    return sampled_source_audit(pool, d.bars(spark, sf_dir), d.second_source(spark, sf_dir), "2024-01-25", d.AS_OF)
+    return sampled_source_audit(pool, d.bars(spark, sf_dir), d.second_source(spark, sf_dir), "2024-01-25", d.AS_OF, sample_size=10)
 
 
 @query
