@@ -4,8 +4,9 @@ Found values are validated, then permuted within their own format under a key, s
 values stay equal in all documents and different ones stay different:
 
 * e-mail addresses: the local part, letters to letters and digits to digits;
-* North American phone numbers: area, exchange and line, both of the former keeping a first
-  digit of 2 to 9; international numbers of 8 to 15 digits after a plus sign: all digits but
+* North American phone numbers: area, exchange and line.  A bare number needs a first digit of
+  2 to 9 in both of the former; with brackets or ``+1`` any digits count.  First digits of 2 to 9
+  stay so, and 0 and 1 stay 0 or 1; international numbers of 8 to 15 digits after a plus sign: all digits but
   the first, which starts the country code;
 * card numbers of 13 to 19 digits that pass the Luhn test: all between the first digit and the
   check digit, which is worked out again;
@@ -43,7 +44,10 @@ SECRET = r"""(?i:password|passwd|pwd|token|secret|api[_-]?key)["']?[ \t]*[=:][ \
 ACCESS = r"AKIA[0-9A-Z]{16}(?![0-9A-Za-z])"
 EMAIL = r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*\.[A-Za-z]{2,}"
 IBAN = r"[A-Z]{2}[0-9]{2}(?:(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?|[A-Z0-9]{11,30})(?![0-9A-Za-z])"
-PHONE = r"(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9A-Za-z])"
+PHONE = (
+    r"(?:(?:\+?1[ .-]?)?\([0-9]{3}\) ?[0-9]{3}|\+1[ .-]?[0-9]{3}[ .-][0-9]{3}"
+    r"|(?:1[ .-]?)?[2-9][0-9]{2}[ .-][2-9][0-9]{2})[ .-][0-9]{4}(?![0-9A-Za-z])"
+)
 E164 = r"\+[1-9][0-9]{7,14}(?![0-9A-Za-z])"
 CARD = r"(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{4}([ -])[0-9]{6}\2[0-9]{5})(?![0-9A-Za-z])"
 SSN = r"(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9A-Za-z-])"
@@ -132,7 +136,8 @@ def _digits(c: Column, i: Column, second: bool) -> Column:
 
 def _phone_digits(c: Column, i: Column, second: bool) -> Column:
     # halves of five: area and the first two of the exchange, then the rest
-    return F.lit(DIGITS) if second else F.when(i.isin(0, 3), F.lit(FIRST)).otherwise(F.lit(DIGITS))
+    first = F.when(c.isin("0", "1"), F.lit("01")).otherwise(F.lit(FIRST))
+    return F.lit(DIGITS) if second else F.when(i.isin(0, 3), first).otherwise(F.lit(DIGITS))
 
 
 def _group(m: Column, pattern: str, n: int) -> Column:
@@ -161,7 +166,7 @@ def _access(m: Column, key: str) -> Column:
 
 
 def _phone(m: Column, key: str) -> Column:
-    shape = r"^(.*?)([2-9][0-9]{2})([^0-9]+)([2-9][0-9]{2})([^0-9]+)([0-9]{4})$"
+    shape = r"^(.*?)([0-9]{3})([^0-9]+)([0-9]{3})([^0-9]+)([0-9]{4})$"
     number = permuted(F.concat(*[_group(m, shape, g) for g in (2, 4, 6)]), key, "phone", _phone_digits)
     parts = [_group(m, shape, 1), F.substring(number, 1, 3), _group(m, shape, 3), F.substring(number, 4, 3)]
     return F.concat(*parts, _group(m, shape, 5), F.substring(number, 7, 4))

@@ -128,6 +128,18 @@ def test_pseudonyms(spark):
     assert found[3] is None and found[4] == "" and found[5] == rows[4][1]
 
 
+def test_phones_of_all_forms_keep_their_form_and_stay_linked(spark):
+    texts = ["+1 (017) 555-7713", "(017) 155-7713", "+1 217 555-1234", "+1-117-555-1234", "217-555-1234", "1 (217) 555.1234", "017-555-7713", "217-055-1234"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING")
+    new = [r["text"] for r in pii.private(docs).orderBy("doc_id").collect()]
+    digits = [re.sub(r"\D", "", t)[-10:] for t in new]
+    assert new[6:] == texts[6:]  # not valid, not marked as phone numbers
+    for before, after in zip(texts[:6], new):
+        assert re.sub(r"\d", "9", before) == re.sub(r"\d", "9", after) and before != after
+    assert digits[2] == digits[4] == digits[5] and digits[0] != digits[1]
+    assert digits[0][0] in "01" and digits[0][3] in pii.FIRST and digits[1][3] in "01" and digits[2][0] in pii.FIRST
+
+
 def test_permutations_are_one_to_one(spark):
     from pyspark.sql import functions as F
 
