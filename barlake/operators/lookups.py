@@ -9,13 +9,27 @@ from barlake.schemas import BAR_KEY
 BASIC_COLUMNS = ("pe", "pb", "turnover_rate", "circ_mv", "total_mv")
 
 
+MONTH = "trade_month"
+
+
 def _date(value: str):
     return F.lit(value).cast("date")
 
 
 def between_days(df: DataFrame, start: str, end: str, column: str = "trade_date") -> DataFrame:
-    """Both ends included."""
-    return df.filter(F.col(column).between(_date(start), _date(end)))
+    """Both ends included.  A stored table with its month column reads those months only."""
+    first, last = _date(start), _date(end)
+    rows = df.filter(F.col(column).between(first, last))
+    if column != "trade_date" or MONTH not in df.columns:
+        return rows
+    return rows.filter(F.col(MONTH).between(F.date_format(first, "yyyy-MM"), F.date_format(last, "yyyy-MM")))
+
+
+def on_day(df: DataFrame, trade_date: str) -> DataFrame:
+    """One day; of a stored table with its month column only that month is read."""
+    day = _date(trade_date)
+    rows = df.filter(F.col("trade_date") == day)
+    return rows.filter(F.col(MONTH) == F.date_format(day, "yyyy-MM")) if MONTH in df.columns else rows
 
 
 def daily_range(bars: DataFrame, ts_code: str, start: str, end: str, columns: list[str] | None = None) -> DataFrame:
@@ -31,8 +45,8 @@ def cross_sections(bars: DataFrame, basics: DataFrame) -> DataFrame:
 
 
 def cross_section(bars: DataFrame, basics: DataFrame, trade_date: str) -> DataFrame:
-    """One day of :func:`cross_sections`; the day filter reaches both scans."""
-    return cross_sections(bars, basics).filter(F.col("trade_date") == _date(trade_date))
+    """One day of :func:`cross_sections`; day and month are filtered in both scans."""
+    return cross_sections(on_day(bars, trade_date), on_day(basics, trade_date)).drop(MONTH)
 
 
 def instruments_by_status(instruments: DataFrame, status: str = "L") -> DataFrame:
@@ -49,7 +63,7 @@ def latest_date_by_stock(bars: DataFrame) -> DataFrame:
 
 
 def stock_count(bars: DataFrame, trade_date: str | None = None) -> DataFrame:
-    rows = bars.filter(F.col("trade_date") == _date(trade_date)) if trade_date else bars
+    rows = on_day(bars, trade_date) if trade_date else bars
     return rows.agg(F.count_distinct("ts_code").alias("stock_count"))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from barlake.functions.codes import SUFFIX_BY_EXCHANGE
 from barlake.functions.columns import true_only
+from barlake.operators.lookups import on_day
 from barlake.schemas import BAR_KEY
 
 META_COLUMNS = ("name", "exchange", "area", "industry", "list_date", "delist_date", "list_status")
@@ -147,7 +148,7 @@ def research_universe(bars: DataFrame, instruments: DataFrame, history: DataFram
 
 def universe_on(universe: DataFrame, trade_date: str, only_in_universe: bool = True) -> DataFrame:
     """One day of the universe, ordered by instrument."""
-    day = universe.filter(F.col("trade_date") == F.lit(trade_date).cast("date"))
+    day = on_day(universe, trade_date)
     return (day.filter("is_in_universe") if only_in_universe else day).orderBy("ts_code")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from barlake.functions.columns import ratio
-from barlake.operators.lookups import latest_date_by_stock
+from barlake.operators.lookups import MONTH, latest_date_by_stock
 from barlake.operators.series import dedup_first, whole_series
 from barlake.plans.cleaning import clean_and_adjust
 from barlake.schemas import BAR_KEY, DAILY_KLINE, PRICES, QFQ_PRICES
@@ -45,9 +45,12 @@ def select_window(landed: DataFrame, plan: DataFrame, end: str, earliest: Column
 def bars_at(bars: DataFrame, days: DataFrame) -> DataFrame:
     """Bars at one given day (``ts_code``, ``trade_date``) per instrument.
 
-    The earliest of the days is computed first and skips older row groups and files."""
-    earliest = days.agg(F.min("trade_date")).scalar()
-    return bars.filter(F.col("trade_date") >= earliest).join(days, list(BAR_KEY), "left_semi")
+    The earliest of the days is computed first and skips older months, files and row groups."""
+    earliest = days.agg(F.min("trade_date"), F.date_format(F.min("trade_date"), "yyyy-MM").alias("month"))
+    recent = bars.filter(F.col("trade_date") >= earliest.select(F.col(earliest.columns[0])).scalar())
+    if MONTH in bars.columns:
+        recent = recent.filter(F.col(MONTH) >= earliest.select("month").scalar())
+    return recent.join(days, list(BAR_KEY), "left_semi")
 
 
 def context_rows(stored: DataFrame, plan: DataFrame) -> DataFrame:

@@ -10,8 +10,9 @@ An upsert reads and rewrites only the storage partitions its batch touches:
 3. target partitions and batch are joined on the key (full outer) and written back with
    *dynamic* partition overwrite, one writer per table at a time.
 
-The write goes through a rebalance step by partition value, so a month that holds much
-of the batch is split over several tasks and files, and small months share a task."""
+Rows are range-partitioned by partition value and key before the write, so a month that holds
+much of the batch is split over several files with a range of keys each, and small months
+share a task."""
 
 from __future__ import annotations
 
@@ -20,6 +21,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from barlake.operators.lookups import between_days
 from barlake.operators.series import dedup_first
 from barlake.schemas import FLAGS, TableSpec, require_columns
 
@@ -51,9 +53,7 @@ def rejected_rows(spark: SparkSession, path: str) -> DataFrame:
 
 def read_bars(spark: SparkSession, path: str, spec: TableSpec, start: str, end: str) -> DataFrame:
     """A range of days, with the matching month filter for partition pruning."""
-    first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
-    months = F.col(spec.partition).between(F.date_format(first, "yyyy-MM"), F.date_format(last, "yyyy-MM"))
-    return read_table(spark, path, spec).filter(months & F.col("trade_date").between(first, last))
+    return between_days(read_table(spark, path, spec), start, end)
 
 
 def _merged_column(
@@ -110,18 +110,21 @@ def upsert(
     there is one row per key; a batch that breaks this is refused before anything is written.
 
     Rows with a NULL in the key never reach the table: they are added to the table of
-    rejected rows (:func:`rejected_path`), with the reason."""
+    rejected rows (:func:`rejected_path`), with the reason; equal ones count once unless ``unique``."""
     require_columns(batch.columns, [*spec.key, *required], spec.name)
     written = [c for c in (columns or batch.columns) if c in spec.columns and c not in spec.key]
     typed = [F.col(c).cast(spec.schema[c].dataType).alias(c) for c in (*spec.key, *written)]
+    unknown = reduce(or_, [F.col(k).isNull() for k in spec.key])
     if unique:
         rows = batch.select(*typed)
     else:
-        content = F.xxhash64(*[c for c in (*spec.key, *written)])
+        values = (*spec.key, *written)
         rows = batch.select(*typed, *([F.col(order).alias("arrival")] if order else []))
-        rows = dedup_first(rows if order else rows.withColumn("arrival", content), spec.key, "arrival").drop("arrival")
+        rows = rows if order else rows.withColumn("arrival", F.xxhash64(*values))
+        # rows without a key are no repeats of each other: all that differ are kept, to be refused below
+        rows = rows.withColumn("refused", F.when(unknown, F.to_json(F.struct(*values))))
+        rows = dedup_first(rows, (*spec.key, "refused"), "arrival").drop("arrival", "refused")
     staged = _stage(spark, rows.withColumn(spec.partition, spec.partition_value()), path)
-    unknown = reduce(or_, [F.col(k).isNull() for k in spec.key])
 
     # one row per month or year in the batch: a short list by construction
     each = staged.groupBy(spec.partition, *spec.key).agg(F.count("*").alias("n"))
@@ -145,12 +148,12 @@ def upsert(
 def write_partitions(rows: DataFrame, path: str, spec: TableSpec) -> None:
     """Replace exactly the storage partitions that occur in ``rows``.
 
-    Files are sorted by key, so that row-group statistics serve lookups by instrument."""
+    Files hold a range of keys and are sorted, so that their statistics serve lookups by instrument."""
     typed = [F.col(c).cast(spec.schema[c].dataType).alias(c) for c in spec.columns]
     (
         rows.select(*typed)
         .withColumn(spec.partition, spec.partition_value())
-        .hint("rebalance", spec.partition)
+        .repartitionByRange(spec.partition, *spec.key)
         .sortWithinPartitions(spec.partition, *spec.key)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

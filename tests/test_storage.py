@@ -3,9 +3,13 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from barlake.schemas import DAILY_KLINE, STOCK_NAME_HISTORY, TABLES
+from barlake.operators import lookups
+from barlake.operators.universe import universe_on
+from barlake.plans.incremental import bars_at
+from barlake.schemas import DAILY_BASIC, DAILY_KLINE, STOCK_NAME_HISTORY, TABLES
 from barlake.session import scratch_path, shared_dir
 from barlake.storage import tables, upserts
+from barlake.storage.store import init_store, open_store
 from tests.conftest import by_key
 
 CLOSE = "ts_code STRING, trade_date DATE, close DOUBLE"
@@ -82,6 +86,41 @@ def test_range_read_prunes_months(spark, table, frame):
     assert "PartitionFilters: [isnotnull(trade_month" in scan[0] and "PushedFilters: [IsNotNull(trade_date)" in scan[0]
 
 
+def scans(df):
+    return [x for x in df._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in x]
+
+
+def test_day_lookups_prune_months_of_a_store(spark, frame, tmp_path):
+    init_store(spark, str(tmp_path))
+    many = frame(CLOSE, [("a", f"2026-{m:02d}-10", float(m)) for m in range(1, 7)])
+    upserts.upsert_bars(spark, f"{tmp_path}/daily_kline", many)
+    basics = many.select("ts_code", "trade_date", F.col("close").alias("pe"))
+    tables.upsert(spark, f"{tmp_path}/daily_basic", DAILY_BASIC, basics)
+    store = open_store(spark, str(tmp_path))
+    day = lookups.cross_section(store["daily_kline"], store["daily_basic"], "2026-03-10")
+    one = lookups.daily_range(store["daily_kline"], "a", "2026-02-01", "2026-03-31")
+    members = universe_on(store["research_daily_universe"], "2026-03-10", only_in_universe=False)
+    recent = bars_at(store["daily_kline"], frame("ts_code STRING, trade_date DATE", [("a", "2026-05-10")]))
+    for df, n in ((day, 2), (one, 1), (members, 1), (recent, 1)):  # plans first: afterwards they show two versions
+        pruned = [x for x in scans(df) if "PartitionFilters: [isnotnull(trade_month" in x]
+        assert len(pruned) == n, scans(df)
+    assert [(r.close, r.pe) for r in day.collect()] == [(3.0, 3.0)] and "trade_month" not in day.columns
+    assert [r.close for r in one.collect()] == [2.0, 3.0]
+    assert [r.close for r in members.collect()] == [3.0]
+    assert [r.close for r in recent.collect()] == [5.0]
+
+
+def test_files_of_a_month_hold_ranges_of_codes(spark, table, frame):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        upserts.upsert_bars(spark, table, frame(CLOSE, [(f"{i:04d}.SZ", "2026-01-05", 1.0) for i in range(400)]))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = tables.read_table(spark, table, DAILY_KLINE).groupBy(F.input_file_name().alias("f"))
+    spans = sorted(tuple(r)[1:] for r in files.agg(F.min("ts_code"), F.max("ts_code")).collect())
+    assert len(spans) > 1 and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+
+
 def test_calendar_and_instruments_keep_insert_only_columns(spark, frame):
     cal = scratch_path(spark, "cal")
     from barlake.schemas import STOCK_LIST, TRADE_CALENDAR

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -39,6 +40,15 @@ def test_a_batch_that_repeats_a_key_is_refused(spark, bars, tmp_path):
     assert read_table(spark, path, DAILY_KLINE).count() == 0
 
 
+def test_rows_without_a_key_are_not_taken_for_repeats(spark, frame, tmp_path):
+    path = str(tmp_path / "bars")
+    init_table(spark, path, DAILY_KLINE)
+    rows = [("A.SZ", None, 1.0), ("A.SZ", None, 2.0), ("A.SZ", None, 2.0), ("A.SZ", "2024-01-03", 3.0)]
+    assert upsert(spark, path, DAILY_KLINE, frame("ts_code STRING, trade_date DATE, close DOUBLE", rows)) == 1
+    refused = rejected_rows(spark, path).collect()
+    assert sorted(json.loads(r.row)["close"] for r in refused) == [1.0, 2.0]
+
+
 def test_repeated_keys_without_order_resolve_the_same_way(spark, frame, tmp_path):
     rows = [("A.SZ", "2024-01-03", float(i)) for i in range(40)]
     seen = set()

@@ -377,6 +377,15 @@ BODIES: dict[str, str] = {
         ["ts_code", "trade_date"], ["close", "vol"],
         {"open": "NULL", "high": "NULL", "low": "NULL", "amount": "NULL"},
     ) .replace("SELECT ", "SELECT FALSE AS flag_extreme, FALSE AS flag_suspended, FALSE AS flag_aligned, FALSE AS flag_invalid_ohlc, ", 1),
+    "upsert_rejects": f"""SELECT ts_code, trade_date, {_PRICES}, vol, 'stored' AS fate FROM bars WHERE close >= 10
+        UNION ALL SELECT ts_code, NULL, {_PRICES}, vol, 'no value in the key (ts_code, trade_date)'
+        FROM (SELECT DISTINCT ts_code, {_PRICES}, vol, amount FROM bars WHERE close < 10 OR close IS NULL)""",
+    "upsert_duplicate_factors": f"{_BAR_STATE} FROM wideadj",
+    "run_outcomes": """SELECT p.ts_code, CASE WHEN count(b.trade_date) > 0 THEN 'cleaned' ELSE 'failed' END AS outcome, count(b.trade_date) AS n_rows
+        FROM instr p LEFT JOIN bars b ON b.ts_code = p.ts_code AND b.trade_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-30'
+        WHERE (p.ts_code LIKE '%.SZ' OR p.ts_code LIKE '%.SH') AND p.list_status = 'L' AND NOT contains(upper(p.name), 'ST')
+            AND (p.list_date IS NULL OR p.list_date <= DATE '2024-01-30' - 25)
+        GROUP BY p.ts_code""",
     "upsert_bars_fixed": _upsert(
         "SELECT *, CAST(NULL AS DOUBLE) AS pct_chg, CAST(NULL AS DOUBLE) AS adj_factor, CAST(NULL AS DOUBLE) AS raw_close,"
         " FALSE AS flag_extreme, FALSE AS flag_suspended FROM bars WHERE trade_date <= DATE '2024-01-20'",

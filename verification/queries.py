@@ -13,6 +13,7 @@ from barlake.functions.dates import business_days, calendar_parts, request_day
 from barlake.operators import adjust, audit, calendar, lookups, outliers, quality, runs, series, universe
 from barlake.plans.audit import sampled_source_audit
 from barlake.plans.cleaning import clean_and_adjust, clean_bars
+from barlake.plans.daily import Feeds, Settings, daily_run, outcomes_path
 from barlake.plans.incremental import incremental_plan, run_full_refresh, run_incremental
 from barlake.schemas import (
     BAR_KEY,
@@ -252,6 +253,46 @@ def upsert_bars_partial(spark, sf_dir):
     return table_state(spark, path, DAILY_KLINE).select(*BAR_KEY, *PRICES, "vol", "amount", *FLAGS)
 
 
+@query
+def upsert_rejects(spark, sf_dir):
+    """Bars below 10 or without a close come without their day: refused, not stored and not lost."""
+    path = scratch_path(spark, DAILY_KLINE.name)
+    tables.init_table(spark, path, DAILY_KLINE)
+    day = F.when(F.col("close") >= 10, F.col("trade_date"))
+    batch = d.bars(spark, sf_dir).select("ts_code", day.alias("trade_date"), *PRICES, "vol", "amount")
+    tables.upsert(spark, path, DAILY_KLINE, batch)
+    stored = table_state(spark, path, DAILY_KLINE).select(*BAR_KEY, *PRICES, "vol", F.lit("stored").alias("fate"))
+    row = F.from_json("row", "ts_code STRING, trade_date DATE, open DOUBLE, high DOUBLE, low DOUBLE, close DOUBLE, vol DOUBLE")
+    refused = tables.rejected_rows(spark, path).select(row.alias("r"), "reason")
+    return stored.unionByName(refused.select("r.*", F.col("reason").alias("fate")))
+
+
+@query
+def upsert_duplicate_factors(spark, sf_dir):
+    """Each factor landed twice, the second time with another value: the first counts, bars stay single."""
+    first = d.factors(spark, sf_dir).withColumn("ingest_seq", F.lit(0).cast("long"))
+    again = first.withColumns({"adj_factor": F.col("adj_factor") + 1, "ingest_seq": F.lit(1).cast("long")})
+    landed, path = d.landed_bars(spark, sf_dir), scratch_path(spark, "bars")
+    tables.init_table(spark, path, DAILY_KLINE)
+    pool = landed.select("ts_code").distinct()
+    days = d.open_days(spark, sf_dir)
+    run_full_refresh(spark, path, landed, pool, again.unionByName(first), days, d.FIRST_DAY, d.LAST_DAY, WIDE_MOVE)
+    return _bar_state(spark, path)
+
+
+@query
+def run_outcomes(spark, sf_dir):
+    """Outcome of every pool instrument after a daily run over the landed bars."""
+    root = scratch_path(spark, "store")
+    feeds = Feeds(
+        d.calendar(spark, sf_dir), d.instruments(spark, sf_dir), d.landed_bars(spark, sf_dir), d.factors(spark, sf_dir),
+        name_history=d.name_history(spark, sf_dir),
+    )
+    settings = Settings(base_start=d.FIRST_DAY, exclude_ipo_within_days=25, max_daily_pct=WIDE_MOVE, rules=RULES)
+    daily_run(spark, root, feeds, 1, d.LAST_DAY, "2024-01-30 18:00:00", "2024-01-30 19:00:00", True, settings)
+    return spark.read.parquet(outcomes_path(root, 1)).select("ts_code", "outcome", "n_rows")
+
+
 @query
 def upsert_bars_fixed(spark, sf_dir):
     path = stored_table(spark, DAILY_KLINE, _stored_bars(spark, sf_dir))
