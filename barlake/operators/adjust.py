@@ -22,6 +22,11 @@ def join_factors(bars: DataFrame, factors: DataFrame) -> DataFrame:
     return bars.drop("adj_factor").join(each, list(BAR_KEY), "left")
 
 
+def with_factors(bars: DataFrame, factors: DataFrame) -> DataFrame:
+    """Bars with their factor, carried over days without one, in both directions."""
+    return fill_both_ways(join_factors(bars, factors), ["adj_factor"])
+
+
 def adjust_prices(bars: DataFrame, factors: DataFrame | None, method: str = "hfq") -> DataFrame:
     """Add ``adj_open`` .. ``adj_close``.
 
@@ -33,7 +38,7 @@ def adjust_prices(bars: DataFrame, factors: DataFrame | None, method: str = "hfq
         return keeps_factor.withColumns({f"adj_{p}": F.col(p) for p in PRICES})
     if factors is None:
         return keeps_factor.withColumns({f"adj_{p}": F.lit(None).cast("double") for p in PRICES})
-    filled = fill_both_ways(join_factors(bars, factors), ["adj_factor"])
+    filled = with_factors(bars, factors)
     anchor = (F.last if method == "qfq" else F.first)("adj_factor").over(whole_series())
     return (
         filled.withColumn("anchor", anchor)

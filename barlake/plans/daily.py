@@ -13,6 +13,7 @@ from barlake.operators.universe import stock_pool
 from barlake.plans.audit import sampled_source_audit
 from barlake.plans.incremental import incremental_plan, run_full_refresh, run_incremental
 from barlake.storage import upserts
+from barlake.storage.anchors import current_anchors
 from barlake.storage.store import init_store, open_store, table_path
 
 
@@ -112,7 +113,7 @@ def _steps(
     pool = stock_pool(store["stock_list"], day, list(settings.include_exchanges), True, settings.exclude_ipo_within_days)
     open_days = store["trade_calendar"].filter("is_open = 1").select("trade_date")
     outcomes = outcomes_path(root, run_id)
-    stored = None if full_refresh else store["daily_kline"]
+    stored = None if full_refresh else current_anchors(spark, path("daily_kline"))
     _outcomes(pool, feeds.bars, incremental_plan(pool, stored, settings.base_start, day), day).write.mode("overwrite").parquet(outcomes)
     step = run_full_refresh if full_refresh else run_incremental
     step(

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from barlake.functions.columns import ratio
+from barlake.operators.adjust import with_factors
 from barlake.operators.lookups import MONTH, latest_date_by_stock
 from barlake.operators.series import dedup_first, whole_series
-from barlake.plans.cleaning import clean_and_adjust
-from barlake.schemas import BAR_KEY, DAILY_KLINE, PRICES, QFQ_PRICES
+from barlake.plans.cleaning import clean_bars
+from barlake.schemas import BAR_KEY, DAILY_KLINE, PRICES
+from barlake.storage.anchors import anchors_of, current_anchors, save_anchors
 from barlake.storage.tables import read_table, upsert
 
 OVERLAP_DAYS = 10
@@ -20,12 +21,14 @@ def incremental_plan(
     """(``ts_code``, ``start_date``) to read: everything since ``base_start`` for new
     instruments, a few days of overlap for known ones, nothing for those up to date.
 
-    ``stored=None`` is the full refresh: stored dates are ignored."""
+    ``stored``: the bars, or one row per instrument with its ``latest_date``.  ``stored=None``
+    is the full refresh: stored dates are ignored."""
     base = F.lit(base_start).cast("date")
     codes = pool.select("ts_code")
     if stored is None:
         return codes.withColumn("start_date", base)
-    planned = codes.join(latest_date_by_stock(stored), "ts_code", "left")
+    latest = stored.select("ts_code", "latest_date") if "latest_date" in stored.columns else latest_date_by_stock(stored)
+    planned = codes.join(latest, "ts_code", "left")
     behind = F.col("latest_date").isNull() | (F.col("latest_date") < F.lit(end).cast("date"))
     start = F.coalesce(F.greatest(base, F.date_sub("latest_date", overlap_days)), base)
     return planned.filter(behind).select("ts_code", start.alias("start_date"))
@@ -63,19 +66,14 @@ def context_rows(stored: DataFrame, plan: DataFrame) -> DataFrame:
     return bars_at(stored, days).select(*BAR_KEY, *PRICES, "vol", "amount", "adj_factor")
 
 
-def refreshed_adjustment(rows: DataFrame, affected: DataFrame) -> DataFrame:
-    """Adjustment columns of affected instruments, computed over their whole history.
+def late_first_factors(stored: DataFrame, codes: DataFrame) -> DataFrame:
+    """Stored bars before the first factor of the given instruments, with that factor.
 
-    A new last factor moves the anchor of all earlier adjusted prices."""
-    scope = rows.join(affected.select("ts_code"), "ts_code", "left_semi")
-    factor = F.coalesce("adj_factor", F.first("adj_factor", ignorenulls=True).over(whole_series()))
-    anchored = scope.withColumns(
-        {"adj_factor": factor, "anchor": F.last("adj_factor", ignorenulls=True).over(whole_series())}
-    )
-    adjusted = {
-        target: ratio(F.col(p) * F.col("adj_factor"), F.col("anchor")) for p, target in zip(PRICES, QFQ_PRICES)
-    }
-    return anchored.withColumns(adjusted).select(*BAR_KEY, "adj_factor", *QFQ_PRICES)
+    An instrument whose first factor came after its first bars needs this once in its life."""
+    scope = stored.select(*BAR_KEY, "adj_factor").join(codes.select("ts_code"), "ts_code", "left_semi")
+    first = F.first("adj_factor", ignorenulls=True).over(whole_series())
+    filled = scope.withColumn("first_factor", first).filter(F.col("adj_factor").isNull() & F.col("first_factor").isNotNull())
+    return filled.select(*BAR_KEY, F.col("first_factor").alias("adj_factor"))
 
 
 def incremental_batch(
@@ -97,19 +95,11 @@ def incremental_batch(
         context.select(*BAR_KEY), list(BAR_KEY), "left_anti"
     ).unionByName(context.select(*BAR_KEY, "adj_factor"))
     series = window.unionByName(context.drop("adj_factor"), allowMissingColumns=True)
-    cleaned = clean_and_adjust(series, factor_rows, open_days, max_daily_pct, order=None)
+    cleaned = with_factors(clean_bars(series, open_days, max_daily_pct, order=None), factor_rows)
     fresh = cleaned.join(plan, "ts_code").filter(F.col("trade_date") >= F.col("start_date"))
     return fresh.drop("start_date")
 
 
-def latest_factor(bars: DataFrame, plan: DataFrame, name: str) -> DataFrame:
-    """The factor that anchors each planned instrument's adjusted prices: the one of its
-    last bar, since stored factors are carried forward."""
-    last = latest_date_by_stock(bars).withColumnRenamed("latest_date", "trade_date")
-    planned = last.join(plan.select("ts_code"), "ts_code", "left_semi")
-    return bars_at(bars, planned).select("ts_code", F.col("adj_factor").alias(name))
-
-
 def run_incremental(
     spark: SparkSession,
     path: str,
@@ -121,46 +111,46 @@ def run_incremental(
     end: str,
     max_daily_pct: float = 15.0,
 ) -> int:
-    """Read the window again, clean, upsert; then redo the adjusted prices a new factor moved.
-
-    Returns the number of bars written from the window.  Instruments whose anchor stayed
-    keep their stored adjusted prices.  Plan and anchors (a row per instrument each) are
-    kept in tables of their own, because the bars they come from are rewritten.
-
-    Before bars are merged, the planned instruments are noted as pending; the note goes when
-    their adjusted prices are right.  A run that finds a note of one that broke off in
-    between first redoes the adjusted prices of those instruments."""
-    _finish_pending(spark, path)
-    stored = read_table(spark, path, DAILY_KLINE)
-    plan = _kept(spark, incremental_plan(pool, stored, base_start, end), f"{path}__plan")
-    anchors = _kept(spark, latest_factor(stored, plan, "anchor_before"), f"{path}__anchors")
-
-    _kept(spark, plan.select("ts_code"), _pending_path(path))
-    batch = incremental_batch(stored, landed, plan, factors, open_days, end, max_daily_pct)
+    """Read the window again, clean, upsert; then note the planned instruments' new anchors.
+
+    Returns the number of bars written from the window.  Adjusted prices are derived on
+    reading (:mod:`barlake.storage.anchors`), so a new factor rewrites no older month.  The plan
+    (a row per instrument) is kept in a table of its own, because the bars are rewritten.
+
+    The anchors come last and decide what is planned: a run that broke off anywhere is made
+    good by the next one, which plans the same instruments again."""
+    known = current_anchors(spark, path)
+    plan = _kept(spark, incremental_plan(pool, known, base_start, end), f"{path.rstrip('/')}__plan")
+    batch = incremental_batch(read_table(spark, path, DAILY_KLINE), landed, plan, factors, open_days, end, max_daily_pct)
     written = upsert(spark, path, DAILY_KLINE, batch, unique=True)
 
-    merged = read_table(spark, path, DAILY_KLINE)
-    changed = ~F.col("anchor_after").eqNullSafe(F.col("anchor_before"))
-    after = latest_factor(merged, plan, "anchor_after").join(anchors, "ts_code", "left")
-    moved = _kept(spark, after.filter(changed).select("ts_code"), f"{path}__moved")
-    if not moved.isEmpty():
-        upsert(spark, path, DAILY_KLINE, refreshed_adjustment(merged, moved), unique=True)
-    _kept(spark, plan.select("ts_code").filter("false"), _pending_path(path))
+    moved = _kept(spark, window_anchors(read_table(spark, path, DAILY_KLINE), plan), f"{path.rstrip('/')}__moved")
+    had_none = known.filter(F.col("last_factor").isNull()).select("ts_code")
+    late = moved.filter(F.col("last_factor").isNotNull()).join(had_none, "ts_code", "left_semi")
+    if not late.isEmpty():
+        upsert(spark, path, DAILY_KLINE, late_first_factors(read_table(spark, path, DAILY_KLINE), late), unique=True)
+    save_anchors(spark, path, updated_anchors(known, moved))
     return written
 
 
-def _pending_path(path: str) -> str:
-    return f"{path.rstrip('/')}__pending"
+def window_anchors(stored: DataFrame, plan: DataFrame) -> DataFrame:
+    """Latest day and last factor within each planned instrument's window; older months are not opened."""
+    first = plan.agg(F.min("start_date"), F.date_format(F.min("start_date"), "yyyy-MM").alias("month"))
+    recent = stored.filter(F.col("trade_date") >= first.select(F.col(first.columns[0])).scalar())
+    if MONTH in stored.columns:
+        recent = recent.filter(F.col(MONTH) >= first.select("month").scalar())
+    rows = recent.select(*BAR_KEY, "adj_factor").join(plan, "ts_code").filter(F.col("trade_date") >= F.col("start_date"))
+    return anchors_of(rows)
 
 
-def _finish_pending(spark: SparkSession, path: str) -> None:
-    """Adjusted prices of the instruments that an earlier run left half done."""
-    spark.createDataFrame([], "ts_code STRING").write.mode("ignore").parquet(_pending_path(path))
-    pending = spark.read.schema("ts_code STRING").parquet(_pending_path(path))
-    if not pending.isEmpty():
-        stored = read_table(spark, path, DAILY_KLINE)
-        upsert(spark, path, DAILY_KLINE, refreshed_adjustment(stored, pending), unique=True)
-        _kept(spark, pending.filter("false"), f"{path.rstrip('/')}__pending")
+def updated_anchors(known: DataFrame, moved: DataFrame) -> DataFrame:
+    """``known`` with the rows of ``moved``; what the window does not tell stays."""
+    new = moved.select("ts_code", F.col("latest_date").alias("new_date"), F.col("last_factor").alias("new_factor"))
+    return known.join(new, "ts_code", "full_outer").select(
+        "ts_code",
+        F.greatest("latest_date", "new_date").alias("latest_date"),
+        F.coalesce("new_factor", "last_factor").alias("last_factor"),
+    )
 
 
 def _kept(spark: SparkSession, rows: DataFrame, path: str) -> DataFrame:
@@ -179,7 +169,13 @@ def run_full_refresh(
     end: str,
     max_daily_pct: float = 15.0,
 ) -> int:
-    """Read everything since ``base_start`` again, whatever is stored, and upsert it."""
-    plan = incremental_plan(pool, None, base_start, end)
+    """Read everything since ``base_start`` again, whatever is stored, and upsert it.
+
+    Bars stored from before ``base_start`` share the new anchors."""
+    known = current_anchors(spark, path)
+    plan = _kept(spark, incremental_plan(pool, None, base_start, end), f"{path.rstrip('/')}__plan")
     window = select_window(landed, plan, end, earliest=F.lit(base_start).cast("date"))
-    return upsert(spark, path, DAILY_KLINE, clean_and_adjust(window, factors, open_days, max_daily_pct, order=None), unique=True)
+    batch = with_factors(clean_bars(window, open_days, max_daily_pct, order=None), factors)
+    written = upsert(spark, path, DAILY_KLINE, batch, unique=True)
+    save_anchors(spark, path, updated_anchors(known, window_anchors(read_table(spark, path, DAILY_KLINE), plan)))
+    return written

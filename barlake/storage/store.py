@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from barlake.operators.lookups import MONTH
 from barlake.operators.runs import fold_run_log
 from barlake.operators.universe import research_universe
-from barlake.schemas import PIPELINE_LOG, TABLES, TableSpec
+from barlake.schemas import DAILY_KLINE, PIPELINE_LOG, TABLES, TableSpec
+from barlake.storage.anchors import read_adjusted
 from barlake.storage.tables import init_table, read_table
 
 
@@ -22,14 +23,15 @@ def init_store(spark: SparkSession, root: str) -> None:
 
 
 def _table(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
-    stored = read_table(spark, table_path(root, spec.name), spec)
+    path = table_path(root, spec.name)
+    stored = read_adjusted(spark, path) if spec is DAILY_KLINE else read_table(spark, path, spec)
     return stored if spec.partition == MONTH else stored.select(*spec.columns)
 
 
 def open_store(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The tables, the universe view and the folded run log, also as temporary views.
 
-    Tables of bars keep the column ``trade_month`` (``yyyy-MM``), and so does the universe: the lookups
+    ``daily_kline`` has its forward-adjusted prices derived from the last factors.  Tables of bars keep the column ``trade_month`` (``yyyy-MM``), and so does the universe: the lookups
     by day filter it along with the day, and SQL should, so that other months are not opened.
     Frames list the files when they are made: open the store again after a write."""
     frames = {name: _table(spark, root, spec) for name, spec in TABLES.items()}

@@ -33,6 +33,7 @@ from barlake.schemas import (
 from barlake.session import scratch_path, tune
 from barlake.sources import frames, instruments as instrument_lists, payloads, routing
 from barlake.storage import tables, upserts
+from barlake.storage.anchors import read_adjusted
 from barlake.streaming.ingest import stream_upsert_bars
 from verification import domain as d
 
@@ -391,7 +392,7 @@ def full_refresh_bars(spark, sf_dir):
 
 
 def _bar_state(spark, path):
-    return table_state(spark, path, DAILY_KLINE).select(
+    return read_adjusted(spark, path).select(
         *BAR_KEY, *PRICES, "vol", "amount", "pct_chg", "adj_factor", *QFQ_PRICES, *FLAGS
     )
 
