@@ -14,34 +14,38 @@ import re
 
 import numpy as np
 
-from barlake.llm.common import GROUP_CHARS, grouped
+from barlake.llm.common import grouped
 
 MEMO = 700_000
 #: Pieces longer than this are encoded every time, so that the memo stays small.
 LONG = 256
+#: Characters of texts that are looked up together.
+TEXT_CHARS = 1 << 18
 #: Characters of new pieces in one call; the library is slower on long texts.
-CALL_CHARS = 512
-_CUT = "\x00"
+CALL_CHARS = 1024
 #: A space within a longer run of white space: the run is one unit of the tokenizers.
 _RUN = re.compile(r"\s \s")
+_HALF_RUN = re.compile(r" \s")
 
 #: Punctuation that is a unit of its own at the end of a piece, after a letter.
 _ENDS = ",.;:!?"
 
 
 def cut(text: str) -> list[str] | None:
-    """Pieces of the text, each but the first with its leading space; None where a space has white
-    space next to it on both sides or the mark is in the text, which then is encoded in one go."""
-    if "  " in text or _CUT in text or _RUN.search(text):
+    """What lies between the text's spaces; a piece is a part and, but for the first, the space
+    before it.  None where a space has white space next to it on both sides; such a text is encoded in one go."""
+    if "  " in text or (_HALF_RUN.search(text) and _RUN.search(text)):
         return None
-    return text.replace(" ", _CUT + " ").split(_CUT)
+    return text.split(" ")
 
 
 class Chunked:
     """Ids of whole texts as little-endian unsigned 32-bit integers."""
 
     def __init__(self) -> None:
+        #: Ids of a space and the part that is the key.
         self.memo: dict[str, bytes] = {}
+        self.ends: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         """Ids of one text in one go."""
@@ -52,34 +56,40 @@ class Chunked:
         raise NotImplementedError
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [cut(t) for t in texts]
         if len(self.memo) > MEMO:
             self.memo.clear()
-        wanted: set[str] = set()
-        for pieces in split:
-            if pieces:
-                wanted.update(pieces[1:])
-        fresh = [p for p in wanted.difference(self.memo) if len(p) > 1]
-        stems = {p: p[:-1] for p in fresh if p[-1] in _ENDS and p[-2].lower().isalpha()}
-        plain = set(stems.values()).difference(self.memo)
-        plain.update(p for p in fresh if p not in stems)
+        if not self.memo:
+            self.memo[""] = self.whole(" ")
+            self.ends = {mark: self.whole(mark) for mark in _ENDS}
+        memo = self.memo
+        # per text its ids by part, and the parts still to come; known parts are let go at once
+        rows: list[tuple[list[bytes | None], list[tuple[int, str]]]] = []
+        fresh: set[str] = set()
+        for text in texts:
+            parts = cut(text)
+            if parts is None:
+                rows.append(([self.whole(text)], []))
+                continue
+            ids = list(map(memo.get, parts))
+            ids[0] = self.whole(parts[0]) if parts[0] else b""
+            gaps = [(i, parts[i]) for i, known in enumerate(ids) if known is None] if None in ids else []
+            fresh.update([part for _, part in gaps])
+            rows.append((ids, gaps))
+        stems = {p: p[:-1] for p in fresh if p[-1] in _ENDS and len(p) > 1 and p[-2].lower().isalpha()}
+        plain = fresh.difference(stems)
+        plain.update(stem for stem in stems.values() if stem not in memo)
         for group in grouped(plain, len, CALL_CHARS):
-            self.memo.update(zip(group, self.new(group)))
-        for mark in _ENDS + " ":
-            if mark not in self.memo:
-                self.memo[mark] = self.whole(mark)
+            memo.update(zip(group, self.new([" " + p for p in group])))
         for piece, stem in stems.items():
-            self.memo[piece] = self.memo[stem] + self.memo[piece[-1]]
+            memo[piece] = memo[stem] + self.ends[piece[-1]]
         out = []
-        for text, pieces in zip(texts, split):
-            if pieces is None:
-                out.append(self.whole(text))
-            else:
-                first = self.whole(pieces[0]) if pieces[0] else b""
-                out.append(first + b"".join(map(self.memo.__getitem__, pieces[1:])))
-        for p in plain.union(fresh):
+        for ids, gaps in rows:
+            for i, part in gaps:
+                ids[i] = memo[part]
+            out.append(b"".join(ids))
+        for p in plain.union(stems):
             if len(p) > LONG:
-                del self.memo[p]
+                del memo[p]
         return out
 
 
@@ -157,6 +167,6 @@ def worded(name: str) -> Worded:
 
 def encoded_rows(rows, encoder: Chunked, text_at: int):
     """Rows with their text replaced by the ids' bytes, in order."""
-    for group in grouped(rows, lambda r: len(r[text_at]), GROUP_CHARS):
+    for group in grouped(rows, lambda r: len(r[text_at]), TEXT_CHARS):
         for row, ids in zip(group, encoder.encode([r[text_at] for r in group])):
             yield (*row[:text_at], ids, *row[text_at + 1 :])
