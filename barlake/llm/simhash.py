@@ -29,6 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barlake.llm import overlap
 from barlake.llm.common import on_workers, saved, text_or_empty
 
 SEED = 42
@@ -282,17 +283,29 @@ def near_duplicates(docs: DataFrame, heavy: int = HEAVY) -> DataFrame:
     return rows.join(found, "fp").select("doc_id", digits.alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, heavy: int = HEAVY) -> DataFrame:
+def one_of_each(docs: DataFrame, width: int = overlap.WIDTH, least: int = overlap.LEAST) -> DataFrame:
     """The documents, all columns, with one row of every group: that of the smallest ``doc_id``,
-    of several the first one stored."""
+    of several the first one stored.
+
+    Not the groups of ``near_duplicates``: documents link when their sets of ``width``-word
+    shingles have Jaccard similarity of at least ``least`` percent (see ``overlap``), which no
+    budget of differing bits says exactly."""
     on_workers(docs.sparkSession)
     rows = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("row"),
         F.monotonically_increasing_id().alias("uid"),
-        fingerprints(docs["text"]).alias("fp"),
+        overlap.profiles(docs["text"], width).alias("p"),
     )
-    rows = saved(rows, "simhash")
+    rows = saved(rows.select("row", "uid", "p.fp", "p.buckets"), "shingled")
     first = F.struct(F.col("row.doc_id").isNull().alias("none"), F.col("row.doc_id").alias("id"), "uid")
-    found = components(rows.select("fp", first.alias("rep")), heavy)
-    kept = found.select(F.col("component.uid").alias("uid")).distinct()
+    each = rows.groupBy("fp").agg(F.min(first).alias("rep"), F.any_value("buckets").alias("buckets"))
+    found = overlap.members(each)
+    each = saved(each.select("fp", "rep"), "distinct")
+    # whole sets of those only that share a bucket, from the text of one row each
+    chosen = each.join(found.select("fp").distinct(), "fp", "left_semi").select("fp", F.col("rep.uid").alias("uid"))
+    texts = rows.select("uid", F.col("row.text").alias("text")).join(chosen, "uid")
+    sets = saved(texts.select("fp", overlap.shingle_sets(F.col("text"), width).alias("set")), "sets")
+    tied = roots(overlap.links(found, sets, roots, least))
+    known = each.join(tied.withColumnRenamed("u", "fp"), "fp", "left").select("rep", F.coalesce("v", "fp").alias("root"))
+    kept = known.groupBy("root").agg(F.min("rep").alias("rep")).select(F.col("rep.uid").alias("uid"))
     return rows.join(kept, "uid", "left_semi").select("row.*")

@@ -10,7 +10,7 @@ import pytest
 import xxhash
 
 import corpus_pipeline
-from barlake.llm import nearest, pii, quality, shards, simhash, urls
+from barlake.llm import nearest, overlap, pii, quality, shards, simhash, urls
 
 WORDS = r"[^\x20\x09-\x0D]+"
 
@@ -107,6 +107,42 @@ def test_groups_of_odd_documents(odd_docs, no_docs):
     assert simhash.near_duplicates(no_docs).count() == 0 and simhash.one_of_each(no_docs).count() == 0
 
 
+def test_edited_copies_are_one_group(spark):
+    r, texts = random.Random(8), []
+    for base in range(12):
+        words = prose(150, 900 + base).split()
+        texts.append(" ".join(words))
+        for edits in (1, 2, 3, 3, 5, 8):  # 0.93 to 0.8 of the base, and below
+            copy = list(words)
+            for at in r.sample(range(5, 145), edits):
+                copy[at] = f"new{r.random()}"
+            texts.append(" ".join(copy))
+    texts += [prose(150, 900).replace(" ", "\n"), prose(149, 900) + " x"]
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    near = np.array([[len(a & b) >= 0.8 * len(a | b) for b in sets] for a in sets])
+    label = simhash.forest(len(sets), *np.nonzero(near))
+    assert 12 < len(set(label)) < 50 and near.sum() > 150
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING")
+    assert sorted(x["doc_id"] for x in simhash.one_of_each(docs).collect()) == sorted(set(label.tolist()))
+
+
+def test_pairs_left_by_the_first_member_are_compared(spark):
+    r, words = random.Random(9), prose(300, 77).split()
+    texts = []
+    for i in range(80):  # all like the base, many pairs below 0.8
+        copy = list(words)
+        for at in r.sample(range(5, 295), 4 + i % 9):
+            copy[at] = f"new{r.random()}"
+        texts.append(" ".join(copy))
+    sets = [overlap.shingles(t) for t in texts]
+    both = np.array([[len(np.intersect1d(a, b)) for b in sets] for a in sets])
+    size = np.array([len(x) for x in sets])
+    label = simhash.forest(80, *np.nonzero(5 * both >= 4 * (size[:, None] + size[None] - both)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING")
+    assert len(set(label)) > 1
+    assert sorted(x["doc_id"] for x in simhash.one_of_each(docs).collect()) == sorted(set(label.tolist()))
+
+
 def test_pseudonyms(spark):
     text = (
         "mail a.b9@x.example.com call +1 (386) 555-3733 card 4111 1111 1111 1111 or 4111111111111112 ip 25.86.162.211"
