@@ -12,9 +12,10 @@ statistic that hardly varies in a group (no symbols at all, say) rejects nobody
 A step is one aggregation: moments by group and distance bin, added up from the nearest bin
 until half the group is covered.  Nothing but one row per group and bin is gathered, so a group
 that holds a third of all documents costs no more than any other, and nothing passes through
-the driver.  Groups of fewer than ``LEAST_GROUP`` documents share the estimate of their
-language, small languages that of the whole table; a table with fewer than ``LEAST_FIT``
-usable documents has no estimate, and the base rules alone decide.
+the driver.  Groups of fewer than ``LEAST_GROUP`` documents that pass the base rules are
+judged by the estimate of their language, small languages by that of the whole table; these are
+fitted to all such documents of the language or table, those of large groups too.  A table with
+fewer than ``LEAST_FIT`` usable documents has no estimate, and the base rules alone decide.
 
 Null texts have no words and fail the base rules, as empty ones do; null languages and sources
 are groups of their own; repeated rows count as often as they occur; an empty table gives an
@@ -38,7 +39,7 @@ SYMBOLS = b"#*$%&|<>"
 FEATURES = ("words", "word_length", "symbols", "dup_lines", "repeats")
 FLOORS = (0.4, 0.3, 0.025, 0.1, 0.15)
 TAIL = 1e-9
-LEAST_GROUP = 200
+LEAST_GROUP = 50
 LEAST_FIT = 30
 STEPS = 12
 BINS_PER_OCTAVE = 8
@@ -189,20 +190,27 @@ def _distance() -> Column:
 
 
 def _keyed(vectors: DataFrame) -> DataFrame:
-    """Adds ``key``: the group whose estimate a document takes part in and is judged by."""
+    """Adds ``key``, the group whose estimate a document is judged by, and ``keys``, all groups
+    whose estimate a usable document takes part in: its own, and its language and the whole table
+    where small groups are judged by these."""
     lang, both = F.to_json(F.array("lang")), F.to_json(F.array("lang", "source"))
     sizes = vectors.filter("usable").groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
     sizes = saved(sizes, "groups")  # a row per language and source
     langs = sizes.groupBy(lang.alias("l")).agg(F.sum("n").alias("n_lang"))
-    key = F.when(F.col("n") >= LEAST_GROUP, both).when(F.col("n_lang") >= LEAST_GROUP, lang).otherwise(F.lit("*"))
-    keys = sizes.withColumn("l", lang).join(langs, "l").select(both.alias("g"), key.alias("key"))
-    keyed = vectors.withColumn("g", both).join(saved(keys, "keys"), "g", "left").drop("g")
+    key = F.when(F.col("n") >= LEAST_GROUP, both).when(F.col("n_lang") >= LEAST_GROUP, F.col("l")).otherwise(F.lit("*"))
+    keys = saved(sizes.withColumn("l", lang).join(langs, "l").select("l", both.alias("g"), key.alias("key")), "keys")
+    asked = keys.filter("key <> g").select(F.col("key").alias("wide")).distinct()
+    ways = keys.select("g", "key", F.explode(F.array("g", "l", F.lit("*"))).alias("wide"))
+    ways = ways.join(asked, "wide", "left_semi").groupBy("g").agg(F.collect_set("wide").alias("wide"))
+    own = F.when(F.col("key") == F.col("g"), F.array("g")).otherwise(F.array().cast("array<string>"))
+    keys = keys.join(ways, "g", "left").select("g", "key", F.concat(own, F.coalesce("wide", F.array().cast("array<string>"))).alias("keys"))
+    keyed = vectors.withColumn("g", both).join(saved(keys, "ways"), "g", "left").drop("g")
     return keyed.withColumn("key", F.coalesce("key", F.lit("*")))
 
 
 def estimates(keyed: DataFrame) -> DataFrame:
     """One row per key: mean and inverse covariance of the minimum covariance determinant."""
-    usable = keyed.filter("usable").select("key", "x")
+    usable = keyed.filter("usable").select(F.explode("keys").alias("key"), "x")
     each = usable.select("key", F.posexplode("x").alias("i", "v"))
     histogram = each.groupBy("key", "i", F.round(F.col("v") * HISTOGRAM).cast("long").alias("bin"))
     counts = histogram.agg(F.count(F.lit(1)).alias("n"))

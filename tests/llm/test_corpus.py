@@ -56,6 +56,17 @@ def test_outliers_go_and_clean_documents_stay(spark):
     assert quality.document_verdicts(docs.filter("false")).count() == 0
 
 
+def test_small_groups_are_judged_by_their_language_or_the_table(spark):
+    rows = [(i, prose(60 + i % 200, i), "en", f"s{i % 2}") for i in range(300)]
+    rows += [(1000 + i, prose(70 + i, i), "en", "small") for i in range(25)] + [(1900, prose(100, 7).replace(" ", "### "), "en", "small")]
+    rows += [(2000 + i, prose(70 + i, i), "fr", None) for i in range(25)] + [(2900, prose(100, 8).replace(" ", "### "), "fr", None)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, lang STRING, source STRING")
+    found = quality.document_verdicts(docs).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        assert r["distance2"] is not None and r["kept"] == (r["doc_id"] not in (1900, 2900)), r
+
+
 def test_quality_of_odd_documents(odd_docs):
     found = quality.document_verdicts(odd_docs).collect()
     assert len(found) == 12 and not any(r["kept"] for r in found)
