@@ -9,8 +9,11 @@ every worker searches in memory, best first from the coarse centres.
 
 Every vector is posted: to its nearest list and, where it lies near a boundary, to up to
 ``REPLICAS`` lists whose distance is within ``BOUNDARY`` of the least.  A query searches the
-graph for ``PROBES`` lists and drops those whose distance is more than ``RATIO`` times the
-least.  Lists of one coarse cluster are scored in one task; a cluster with many rows (copies of
+graph for its nearest lists and drops those whose distance is more than ``RATIO`` times the
+least.
+How many lists a query probes is measured on every table: ``SAMPLE_QUERIES`` queries are
+compared with brute force, and the probes grow until their recall, less two standard errors,
+is ``RECALL`` or all lists are probed.  Lists of one coarse cluster are scored in one task; a cluster with many rows (copies of
 one vector, say) is divided into parts by hash and every part is asked, and many queries to one
 cluster are divided likewise, so no task grows with a hot vector.  Each task returns its best
 ``k`` for a query, and the best of these are the result.
@@ -38,7 +41,9 @@ MAX_LISTS = 1 << 14
 SAMPLE_PER_LIST = 24
 REPLICAS = 3
 BOUNDARY = 1.06  # of the distance to the nearest centroid
-PROBES = 256
+RECALL = 0.9  # of the sampled queries' ``k`` nearest
+SAMPLE_QUERIES = 128
+LEAST_PROBES, GROWTH = 4, 1.2
 RATIO = 2.5
 DEGREE = 16
 #: Rows of a coarse cluster that one task scores, and queries it answers.
@@ -98,8 +103,12 @@ class Index:
 
     def search(self, x: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """About the ``n`` nearest centroids of each row and their squared distances, nearest
-        first: best-first walks over the graph, all rows at once."""
+        first: best-first walks over the graph, all rows at once; all centroids need no walk."""
         n = min(n, len(self.centres))
+        if n == len(self.centres):
+            dist = squared(x, self.centres)
+            ids = np.argsort(dist, axis=1, kind="stable")
+            return ids, np.take_along_axis(dist, ids, 1)
         beam = min(len(self.centres), max(n, 24))
         norms = (self.centres * self.centres).sum(1)
         xx = (x * x).sum(1)
@@ -188,18 +197,8 @@ def _best(query: np.ndarray, vec: np.ndarray, score: np.ndarray, k: int) -> np.n
     return order[rank < k]
 
 
-def search(
-    vectors: DataFrame, is_query: Column, k: int = K, probes: int = PROBES, replicas: int = REPLICAS
-) -> DataFrame:
-    """query_id, rank (from 1), vec_id and score of the ``k`` nearest of every query row."""
-    spark = vectors.sparkSession
-    on_workers(spark)
-    rows = saved(valid(vectors), "vectors")
-    usual = rows.groupBy("size").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "size").first()
-    if usual is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    rows = rows.filter(F.col("size") == usual["size"])
-    index, largest = build(rows)
+def posted(rows: DataFrame, index: Index, largest: float, replicas: int = REPLICAS) -> DataFrame:
+    """The stored postings: coarse, list, home (the vector's nearest list), vec_id and x."""
 
     def post(batches):
         for pdf in batches:
@@ -211,18 +210,104 @@ def search(
                 i, j = np.nonzero(near)
                 found = lists[i, j]
                 yield pd.DataFrame(
-                    {"coarse": index.cluster[found], "list": found, "vec_id": part["vec_id"].to_numpy()[i], "x": part["x"].to_numpy()[i]}
+                    {"coarse": index.cluster[found], "list": found, "home": j == 0, "vec_id": part["vec_id"].to_numpy()[i], "x": part["x"].to_numpy()[i]}
                 )
 
+    kinds = "coarse int, list int, home boolean, vec_id long, x array<double>"
+    return saved(rows.select("vec_id", "x").mapInPandas(post, kinds), "postings")
+
+
+def home_sizes(postings: DataFrame, index: Index) -> np.ndarray:
+    """Distinct ``vec_id`` of each list, every one counted in one list only."""
+    one = postings.filter("home").groupBy("vec_id").agg(F.min("list").alias("list"))
+    held = one.groupBy("list").agg(F.count(F.lit(1)).alias("n")).toPandas()  # a row per list
+    home = np.zeros(len(index.centres), dtype=np.int64)
+    home[held["list"].to_numpy(dtype=np.int64)] = held["n"].to_numpy(dtype=np.int64)
+    return home
+
+
+def chosen(index: Index, x: np.ndarray, probes: int, home: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of queries and the lists they probe: the ``probes`` nearest within ``RATIO``."""
+    lists, dist = index.search(np.concatenate([x, np.zeros((len(x), 1), np.float32)], 1), probes)
+    i, j = np.nonzero(dist <= dist[:, :1] * RATIO**2 + 1e-12)
+    return i, lists[i, j]
+
+
+def nearest_by_force(rows: DataFrame, sample: pd.DataFrame, k: int) -> DataFrame:
+    """query_id and vec_id of the exact ``k`` nearest of the sampled queries."""
+    q, own = np.stack(sample["x"].to_numpy()), sample["vec_id"].to_numpy()
+    kinds = "query_id long, vec_id long, score double"
+
+    def best(batches):
+        held = [pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})]
+        for pdf in batches:
+            for at in range(0, len(pdf), 4096):
+                part = pdf.iloc[at : at + 4096]
+                ids = part["vec_id"].to_numpy()
+                s = scores(q, np.stack(part["x"].to_numpy()))
+                s[own[:, None] == ids[None]] = -np.inf
+                top = _top(s, ids, k)
+                i, j = np.repeat(np.arange(len(q)), top.shape[1]), top.ravel()
+                good = np.isfinite(s[i, j])
+                i, j = i[good], j[good]
+                held = [_cut([*held, pd.DataFrame({"query_id": own[i], "vec_id": ids[j], "score": s[i, j]})], k)]
+        yield held[0]
+
+    found = rows.select("vec_id", "x").mapInPandas(best, kinds).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "vec_id")
+
+
+def fitted_probes(
+    rows: DataFrame, is_query: Column, index: Index, postings: DataFrame, home: np.ndarray, k: int = K, least: float = RECALL
+) -> int:
+    """Lists to probe for a recall of ``least`` on a sample of the queries."""
+    sample = rows.filter(is_query).select("vec_id", "x").orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_QUERIES)
+    sample = sample.toPandas().drop_duplicates("vec_id")
+    if not len(sample):
+        return LEAST_PROBES
+    truth = saved(nearest_by_force(rows, sample, k), "nearest")
+    held = postings.select("vec_id", "list").join(F.broadcast(truth), "vec_id").distinct().toPandas()  # of the sample
+    if not len(held):
+        return LEAST_PROBES
+    at = pd.Series(np.arange(len(sample)), index=sample["vec_id"].to_numpy())
+    held["at"] = at[held["query_id"].to_numpy()].to_numpy()
+    probes = min(LEAST_PROBES, len(index.centres))
+    while probes < len(index.centres):
+        seen = np.zeros((len(sample), len(index.centres)), dtype=bool)
+        seen[chosen(index, _matrix(sample["x"]), probes, home, k)] = True
+        held["hit"] = seen[held["at"].to_numpy(), held["list"].to_numpy()]
+        each = held.groupby(["at", "vec_id"])["hit"].max().groupby("at").mean()
+        if each.mean() - 2 * each.std(ddof=0) / len(each) ** 0.5 >= least:
+            break
+        probes = min(len(index.centres), max(probes + 1, round(probes * GROWTH)))
+    return probes
+
+
+def search(
+    vectors: DataFrame, is_query: Column, k: int = K, probes: int | None = None, replicas: int = REPLICAS
+) -> DataFrame:
+    """query_id, rank (from 1), vec_id and score of the ``k`` nearest of every query row; without
+    ``probes`` their number is measured (see ``fitted_probes``)."""
+    spark = vectors.sparkSession
+    on_workers(spark)
+    rows = saved(valid(vectors), "vectors")
+    usual = rows.groupBy("size").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "size").first()
+    if usual is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    rows = rows.filter(F.col("size") == usual["size"])
+    index, largest = build(rows)
+
+    postings = posted(rows, index, largest, replicas)
+    home = home_sizes(postings, index)
+    if probes is None:
+        probes = fitted_probes(rows, is_query, index, postings, home, k)
+
     def probe(batches):
         for pdf in batches:
             for at in range(0, len(pdf), 1024):
                 part = pdf.iloc[at : at + 1024]
-                x = _matrix(part["x"])
-                lists, dist = index.search(np.concatenate([x, np.zeros((len(x), 1), np.float32)], 1), probes)
-                wide = dist <= dist[:, :1] * RATIO**2 + 1e-12
-                i, j = np.nonzero(wide)
-                found = lists[i, j]
+                i, found = chosen(index, _matrix(part["x"]), probes, home, k)
                 each = pd.DataFrame({"row": i, "coarse": index.cluster[found], "list": found})
                 each = each.groupby(["row", "coarse"])["list"].apply(list).reset_index()
                 own = part.iloc[each["row"].to_numpy()]
@@ -235,7 +320,6 @@ def search(
                     }
                 )
 
-    postings = saved(rows.select("vec_id", "x").mapInPandas(post, "coarse int, list int, vec_id long, x array<double>"), "postings")
     asked = rows.filter(is_query).select("vec_id", "x")
     asked = saved(asked.mapInPandas(probe, "coarse int, lists array<int>, query_id long, q array<double>"), "probes")
     # clusters with many rows or queries are divided; a row per cluster

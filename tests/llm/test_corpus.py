@@ -238,6 +238,28 @@ def test_nearest_against_all_pairs(spark):
     assert nearest.search(vectors.filter("false"), F.lit(True)).count() == 0
 
 
+def test_probes_grow_until_the_sample_has_its_neighbours(spark):
+    from pyspark.sql import functions as F
+
+    x = np.random.default_rng(5).normal(size=(3000, 32)).astype(np.float32)
+    vectors = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "vec_id LONG, embedding ARRAY<FLOAT>")
+    is_query = F.col("vec_id") % 20 == 0
+
+    def recall(probes):
+        found = nearest.search(vectors, is_query, probes=probes).toPandas()
+        best = {q: set(np.argsort(-np.where(np.arange(3000) == q, -np.inf, x @ x[q]))[:20]) for q in range(0, 3000, 20)}
+        return sum(len(best[q] & set(part["vec_id"])) for q, part in found.groupby("query_id")) / (20 * len(best))
+
+    assert recall(2) < 0.9 <= recall(None)
+    rows = nearest.saved(nearest.valid(vectors), "vectors")
+    index, largest = nearest.build(rows)
+    postings = nearest.posted(rows, index, largest)
+    home = nearest.home_sizes(postings, index)
+    assert home.sum() == 3000
+    few, many = (nearest.fitted_probes(rows, is_query, index, postings, home, 20, least) for least in (0.3, 0.9))
+    assert 1 <= few < many <= len(index.centres)
+
+
 def test_shards(spark, odd_docs, no_docs):
     docs = spark.createDataFrame([(7 if i % 3 else i, "é" * (i % 50)) for i in range(3000)], "doc_id LONG, text STRING")
     found = shards.by_bytes(docs).toPandas()
