@@ -10,7 +10,7 @@ every worker searches in memory, best first from the coarse centres.
 Every vector is posted: to its nearest list and, where it lies near a boundary, to up to
 ``REPLICAS`` lists whose distance is within ``BOUNDARY`` of the least.  A query searches the
 graph for its nearest lists and drops those whose distance is more than ``RATIO`` times the
-least.
+least, but never those it needs to meet ``k`` others; it goes on to further lists for these.
 How many lists a query probes is measured on every table: ``SAMPLE_QUERIES`` queries are
 compared with brute force, and the probes grow until their recall, less two standard errors,
 is ``RECALL`` or all lists are probed.  Lists of one coarse cluster are scored in one task; a cluster with many rows (copies of
@@ -227,10 +227,24 @@ def home_sizes(postings: DataFrame, index: Index) -> np.ndarray:
 
 
 def chosen(index: Index, x: np.ndarray, probes: int, home: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of queries and the lists they probe: the ``probes`` nearest within ``RATIO``."""
-    lists, dist = index.search(np.concatenate([x, np.zeros((len(x), 1), np.float32)], 1), probes)
-    i, j = np.nonzero(dist <= dist[:, :1] * RATIO**2 + 1e-12)
-    return i, lists[i, j]
+    """Rows of queries and the lists they probe: the nearest ones that hold ``k`` + 1 vectors
+    together, and of the ``probes`` nearest those within ``RATIO``."""
+    x = np.concatenate([x, np.zeros((len(x), 1), np.float32)], 1)
+    todo, n = np.arange(len(x)), min(max(1, probes), len(index.centres))
+    rows, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    while len(todo):
+        lists, dist = index.search(x[todo], n)
+        real = np.isfinite(dist)
+        size = np.where(real, home[lists], 0)
+        held = np.cumsum(size, 1)
+        within = (np.arange(lists.shape[1]) < probes) & (dist <= dist[:, :1] * RATIO**2 + 1e-12)
+        keep = real & (within | (held - size <= k))
+        full = (held[:, -1] > k) | (n == len(index.centres))
+        i, j = np.nonzero(keep & full[:, None])
+        rows.append(todo[i])
+        found.append(lists[i, j])
+        todo, n = todo[~full], min(2 * n, len(index.centres))
+    return np.concatenate(rows), np.concatenate(found)
 
 
 def nearest_by_force(rows: DataFrame, sample: pd.DataFrame, k: int) -> DataFrame:

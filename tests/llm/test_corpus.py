@@ -238,6 +238,20 @@ def test_nearest_against_all_pairs(spark):
     assert nearest.search(vectors.filter("false"), F.lit(True)).count() == 0
 
 
+def test_nearest_of_isolated_vectors(spark):
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(3)
+    x = np.zeros((1600, 24), dtype=np.float32)
+    x[:1590, :14] = rng.normal(size=(1590, 14))
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    x[1590:, 14:] = np.eye(10)  # each far from all others: a list with one member
+    vectors = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "vec_id LONG, embedding ARRAY<FLOAT>")
+    for probes in (None, 4):
+        found = nearest.search(vectors, F.col("vec_id") >= 1580, probes=probes).groupBy("query_id").count().collect()
+        assert len(found) == 20 and all(r["count"] == 20 for r in found)
+
+
 def test_probes_grow_until_the_sample_has_its_neighbours(spark):
     from pyspark.sql import functions as F
 
