@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barlake.session import scratch_path
@@ -60,3 +60,34 @@ def arrow_rows(batches, *names: str):
         for at in range(0, batch.num_rows, 64):
             part = batch.slice(at, 64)
             yield from zip(*(part.column(part.schema.get_field_index(n)).to_pylist() for n in names))
+
+
+#: A key with more than one in so many of all rows is hot; there are fewer hot keys than this.
+HOT_ONE_IN = 1000
+#: The place within its partition is in so many low bits of ``monotonically_increasing_id``.
+PLACE_BITS = 33
+
+
+def join_named(rows: DataFrame, named: DataFrame, key: str, total: int) -> DataFrame:
+    """Inner join of ``rows`` with ``named``, which has each key once and, as ``n``, how many of the
+    ``total`` rows have it.  The few hot keys, fewer than ``HOT_ONE_IN`` whatever the size, are
+    broadcast, so that no task of the shuffled join gets all rows of one of them."""
+    hot = F.col("n") * HOT_ONE_IN > total
+    often = F.broadcast(named.filter(hot))
+    rest = rows.join(often.select(key), key, "left_anti").join(named.filter(~hot), key)
+    return rows.join(often, key).unionByName(rest)
+
+
+def numbered(rows: DataFrame, *order: Column) -> DataFrame:
+    """``rows`` as a saved table with ``number``, 0, 1, 2... in ``order``: sorted in ranges, each
+    range's numbers starting where those of the ranges before it end."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    ranged = saved(ranged.withColumn("at", F.monotonically_increasing_id()), "numbered")
+    part = F.shiftright("at", PLACE_BITS).alias("part")
+    sizes = ranged.groupBy(part).agg(F.count(F.lit(1)).alias("n"))  # a row per partition
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    place = F.col("at").bitwiseAND((1 << PLACE_BITS) - 1)
+    found = ranged.withColumn("part", part).join(F.broadcast(starts), "part")
+    return found.withColumn("number", F.col("start") + place).drop("at", "part", "start")
