@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import bpe, nearest, packing, pii, planes, quality, resampling, shards, simhash, urls, wordpiece
+from barlake.llm import bpe, nearest, packing, pii, planes, quality, repair, resampling, shards, simhash, substrings, urls, wordpiece
 from barlake.llm.common import table
 from barlake.session import scratch_path
 
@@ -57,6 +57,16 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.by_bytes(table(spark, sf_dir, "documents"))
 
 
+def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return repair.digests(conversations, repair.edits(repair.damaged(conversations)))
+
+
 def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -65,6 +75,6 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_byte_bpe, op3_packing, op4_quality, op5_pseudonyms, op6_bit_planes, op7_simhash,
-        op8_url_filter, op9_nearest, op10_shards, op13_resampling,
+        op8_url_filter, op9_nearest, op10_shards, op11_repeats, op12_repair, op13_resampling,
     )
 }
