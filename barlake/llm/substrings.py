@@ -10,7 +10,7 @@ word sequence that also starts anywhere else in the corpus, in the same text too
   of all texts; these are broadcast where keys are joined back, so none makes a hot task.
 * What is shared is verified: a window is repeated if its 128-bit digest over the names of its words
   is found twice.  Equal digests are neighbours in a sorted partition, whatever their number; windows of
-  hot keys are counted before they are shuffled.
+  hot keys meet in salted parts of their rows before.
 
 Equal texts are one text with a number of copies: with two or more, all its windows are repeated and
 nothing of it is kept; it takes part once.  Texts are known by 128 bits of XXH64 under two seeds, words by
@@ -174,28 +174,37 @@ def _candidates(width: int):
     return run
 
 
-def _met_again(batches):
-    """text_id and at of rows that have a neighbour of the same digest; rows come sorted by it."""
+#: A window of a hot key is first looked for in one of so many parts of its rows.
+SALTS = 64
+ALONE, MET, FIRST = range(3)
+
+
+def _neighbours(batches):
+    """Rows, sorted by digest, with what is known of each: alone with its digest, met again, or the
+    first one of those met again."""
     import pyarrow as pa
 
-    last, told = None, False
+    columns = ["text_id", "at", "w1", "w2"]
+
+    def told(row, state):
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32())
+        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip((*row, state), kinds)], [*columns, "state"])
+
+    last, carried = None, False  # the last row is held back until its successor is known
     for batch in batches:
-        ids, at, w1, w2 = (batch.column(i).to_numpy() for i in range(4))
+        ids, at, w1, w2 = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in columns)
         if not len(ids):
             continue
-        same = (w1[1:] == w1[:-1]) & (w2[1:] == w2[:-1])
-        out = np.zeros(len(ids), dtype=bool)
-        out[1:] |= same
-        out[:-1] |= same
-        found = [(ids[out], at[out])]
-        if last is not None and last[2:] == (w1[0], w2[0]):
-            first = ([ids[0]], [at[0]]) if not out[0] else ([], [])
-            before = ([], []) if told else ([last[0]], [last[1]])
-            found += [first, before]
-            out[0] = True
-        last, told = (ids[-1], at[-1], w1[-1], w2[-1]), bool(out[-1])
-        columns = [np.concatenate([np.asarray(f[i], dtype=d) for f in found]) for i, d in ((0, np.int64), (1, np.int32))]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["text_id", "at"])
+        same = np.zeros(len(ids) + 1, dtype=bool)  # with the row before
+        same[1:-1] = (w1[1:] == w1[:-1]) & (w2[1:] == w2[:-1])
+        same[0] = last is not None and last[2:] == (w1[0], w2[0])
+        if last is not None:
+            yield told(last, MET if carried else FIRST if same[0] else ALONE)
+        state = np.where(same[:-1], MET, np.where(same[1:], FIRST, ALONE)).astype(np.int32)
+        last, carried = (ids[-1], at[-1], w1[-1], w2[-1]), bool(same[-2])
+        yield pa.RecordBatch.from_arrays([pa.array(c[:-1]) for c in (ids, at, w1, w2, state)], [*columns, "state"])
+    if last is not None:
+        yield told(last, MET if carried else ALONE)
 
 
 def _removed(width: int):
@@ -246,15 +255,25 @@ def shared_places(profiles: DataFrame) -> DataFrame:
     return profiles.select("uid", "h1", "h2").join(listed, "uid").groupBy("h1", "h2").agg(F.first("shared").alias("shared"))
 
 
-def repeated_windows(windows: DataFrame) -> DataFrame:
-    """text_id and at of the windows whose digest is found twice."""
+def _met(windows: DataFrame, *salt: Column) -> DataFrame:
+    """text_id, at, w1, w2 and state of the windows among those with the same salt."""
     parts = int(windows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rare = windows.filter("not hot").select("text_id", "at", "w1", "w2").repartition(parts, "w1").sortWithinPartitions("w1", "w2")
-    rare = rare.mapInArrow(_met_again, "text_id long, at int")
-    often = windows.filter("hot").select("text_id", "at", F.struct("w1", "w2").alias("w"))
-    counts = saved(often.groupBy("w").agg(F.count(F.lit(1)).alias("n")), "hot-windows")
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    return rare.unionByName(join_named(often, counts.filter("n > 1"), "w", total).select("text_id", "at"))
+    salts = ["salt" for _ in salt]
+    dealt = windows.select("text_id", "at", "w1", "w2", *salt).repartition(parts, "w1", *salts)
+    dealt = dealt.sortWithinPartitions(*salts, "w1", "w2").select("text_id", "at", "w1", "w2")
+    return dealt.mapInArrow(_neighbours, "text_id long, at int, w1 long, w2 long, state int")
+
+
+def repeated_windows(windows: DataFrame) -> DataFrame:
+    """text_id and at of the windows whose digest is found twice; some may come twice.
+
+    Windows of hot keys are dealt out by digest and salt first.  Those that meet an equal one there are
+    known; the others, and one for all that are known, are looked for once more without salt, at most
+    ``SALTS`` of each digest."""
+    salt = F.pmod(F.xxhash64("text_id", "at"), F.lit(SALTS)).alias("salt")
+    often = saved(_met(windows.filter("hot"), salt), "hot-windows")
+    rest = _met(windows.filter("not hot")).unionByName(_met(often.filter(F.col("state") != MET).drop("state")))
+    return rest.unionByName(often).filter(F.col("state") != ALONE).select("text_id", "at")
 
 
 def repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
