@@ -305,7 +305,7 @@ def one_of_each(docs: DataFrame, width: int = overlap.WIDTH, least: int = overla
     chosen = each.join(found.select("fp").distinct(), "fp", "left_semi").select("fp", F.col("rep.uid").alias("uid"))
     texts = rows.select("uid", F.col("row.text").alias("text")).join(chosen, "uid")
     sets = saved(texts.select("fp", overlap.shingle_sets(F.col("text"), width).alias("set")), "sets")
-    tied = roots(overlap.links(found, sets, roots, least))
-    known = each.join(tied.withColumnRenamed("u", "fp"), "fp", "left").select("rep", F.coalesce("v", "fp").alias("root"))
+    tied = overlap.groups(found, sets, roots, least)
+    known = each.join(tied, "fp", "left").select("rep", F.coalesce("label", "fp").alias("root"))
     kept = known.groupBy("root").agg(F.min("rep").alias("rep")).select(F.col("rep.uid").alias("uid"))
     return rows.join(kept, "uid", "left_semi").select("row.*")
