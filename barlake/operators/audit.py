@@ -40,14 +40,17 @@ def audit_sources(
     primary_name: str = "tencent",
     secondary_name: str = "sina",
 ) -> DataFrame:
-    """One audit row per requested instrument, in the shape of the audit table.
+    """One audit row per requested instrument, in the shape of the audit table; other instruments'
+    rows leave before the two sources are joined.
 
     ``failed`` if a source has no rows in the range or the two share no day; ``warning``
     if the largest difference exceeds the tolerance; otherwise ``normal`` (also if all
     differences are unknown)."""
     both = F.col("in_primary") & F.col("in_secondary")
+    asked = codes.select("ts_code").distinct()
+    wanted = [between_days(source, start, end).join(asked, "ts_code", "left_semi") for source in (primary, secondary)]
     measured = (
-        _paired(between_days(primary, start, end), between_days(secondary, start, end))
+        _paired(*wanted)
         .groupBy("ts_code")
         .agg(
             F.count("in_primary").alias("n_primary"),

@@ -38,10 +38,15 @@ def daily_range(bars: DataFrame, ts_code: str, start: str, end: str, columns: li
     return rows.select(*columns) if columns else rows
 
 
+def with_basics(bars: DataFrame, basics: DataFrame) -> DataFrame:
+    """Bars with their fundamentals of the day."""
+    have = [c for c in BASIC_COLUMNS if c in basics.columns]
+    return bars.join(basics.select(*BAR_KEY, *have), list(BAR_KEY), "left")
+
+
 def cross_sections(bars: DataFrame, basics: DataFrame) -> DataFrame:
     """Bars with a positive close and their fundamentals, for all days."""
-    have = [c for c in BASIC_COLUMNS if c in basics.columns]
-    return bars.filter(F.col("close") > 0).join(basics.select(*BAR_KEY, *have), list(BAR_KEY), "left")
+    return with_basics(bars.filter(F.col("close") > 0), basics)
 
 
 def cross_section(bars: DataFrame, basics: DataFrame, trade_date: str) -> DataFrame:

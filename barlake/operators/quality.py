@@ -10,6 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from barlake.functions.columns import true_only
+from barlake.operators.lookups import with_basics
 
 # Fields whose share of NULLs is reported, in report order.
 BAR_FIELDS = ("open", "high", "low", "close", "vol", "amount", "adj_factor", "flag_suspended")
@@ -47,26 +48,30 @@ class QualityRules:
         return [c for c in wanted if c in columns and c not in self.known_missing]
 
 
-def day_statistics(cross: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
-    """Counts per day: rows, NULLs per field, extreme moves, suspensions, invalid prices."""
+def day_statistics(cross: DataFrame, rules: QualityRules = QualityRules(), counted: Column | None = None) -> DataFrame:
+    """Counts per day: rows, NULLs per field, extreme moves, suspensions, invalid prices.
+
+    ``counted`` tells which rows count; a day of which none does is there with no rows."""
     fields = rules.fields(cross.columns)
-    move = F.col("pct_chg")
+    every = F.lit(True) if counted is None else true_only(counted)
+    move = F.when(every, F.col("pct_chg"))
     extreme = (F.abs(move) >= EXTREME_FROM) & (F.abs(move) < EXTREME_BELOW)
-    counted = cross.groupBy("trade_date").agg(
-        F.count("*").alias("stock_count"),
-        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in fields],
+    counts = cross.groupBy("trade_date").agg(
+        F.count_if(every).alias("stock_count"),
+        *[F.count_if(every & F.col(c).isNull()).alias(f"null_{c}") for c in fields],
         F.count_if(true_only(extreme)).alias("extreme_count"),
         F.count(move).alias("move_count"),
         F.min(move).alias("move_min"),
         F.max(move).alias("move_max"),
-        F.count_if(true_only(F.col("flag_suspended"))).alias("suspension_count"),
-        F.count_if(true_only(F.col("flag_invalid_ohlc"))).alias("invalid_ohlc_count"),
+        F.count_if(every & true_only(F.col("flag_suspended"))).alias("suspension_count"),
+        F.count_if(every & true_only(F.col("flag_invalid_ohlc"))).alias("invalid_ohlc_count"),
     )
-    share = {f"rate_{c}": F.round(F.col(f"null_{c}") / F.col("stock_count"), 4) for c in fields}
-    return counted.withColumns(
+    stocks = F.nullif("stock_count", F.lit(0))
+    share = {f"rate_{c}": F.round(F.col(f"null_{c}") / stocks, 4) for c in fields}
+    return counts.withColumns(
         {
             **{name: F.when(F.col(name.replace("rate_", "null_", 1)) > 0, value) for name, value in share.items()},
-            "suspension_ratio": F.round(F.col("suspension_count") / F.col("stock_count"), 4),
+            "suspension_ratio": F.round(F.col("suspension_count") / stocks, 4),
             "extreme_ratio": F.when(
                 F.col("extreme_count") > 0, F.round(F.col("extreme_count") / F.col("move_count"), 4)
             ),
@@ -220,10 +225,37 @@ def quality_report(
 ) -> DataFrame:
     """One report row per day of ``cross``, or per requested day.
 
-    ``bars`` is the whole store; its first and last day are part of every report.  A
+    ``bars`` is the whole store; its first and last day are part of every report.  Of the store's
+    directory (a row per instrument with ``first_date`` and ``latest_date``) they are as well.  A
     requested day without rows is critical with score 0."""
-    fields = rules.fields(cross.columns)
-    stats = day_statistics(cross, rules)
+    first, last = ("first_date", "latest_date") if "first_date" in bars.columns else ("trade_date", "trade_date")
+    span = bars.agg(F.min(first).cast("string").alias("min"), F.max(last).cast("string").alias("max"))
+    stats = day_statistics(cross, rules).withColumn("date_range", span.select(F.struct("min", "max")).scalar())
+    return _reports(stats, rules.fields(cross.columns), as_of, rules, days)
+
+
+def store_report(
+    bars: DataFrame,
+    basics: DataFrame,
+    as_of: str,
+    rules: QualityRules = QualityRules(),
+    days: DataFrame | None = None,
+) -> DataFrame:
+    """:func:`quality_report` of all days of a store in one pass over its bars.
+
+    The bars are joined with their fundamentals once and aggregated once, also those that do not count,
+    since they may be the first or last of the store; its span is taken from the rows of the days."""
+    joined = with_basics(bars, basics)
+    every_day = Window.orderBy("trade_date").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    span = F.struct(
+        F.first("trade_date").over(every_day).cast("string").alias("min"), F.last("trade_date").over(every_day).cast("string").alias("max")
+    )
+    stats = day_statistics(joined, rules, F.col("close") > 0).withColumn("date_range", span).filter("stock_count > 0")
+    return _reports(stats, rules.fields(joined.columns), as_of, rules, days)
+
+
+def _reports(stats: DataFrame, fields: list[str], as_of: str, rules: QualityRules, days: DataFrame | None) -> DataFrame:
+    """Reports from the counts and the store's span, one row per day."""
     if days is not None:
         stats = days.select("trade_date").distinct().join(stats, "trade_date", "left")
     empty = F.col("stock_count").isNull()
@@ -233,8 +265,6 @@ def quality_report(
             F.format_string(TEXT_NO_DATA, F.col("trade_date").cast("string")),
         )
     )
-    span = bars.agg(F.min("trade_date").cast("string").alias("min"), F.max("trade_date").cast("string").alias("max"))
-    span_row = span.select(F.struct("min", "max").alias("date_range")).scalar()
     judged = (
         stats.withColumn("anomalies", F.when(empty, no_data).otherwise(anomalies(fields, as_of, rules)))
         .withColumn("status", status())
@@ -257,7 +287,7 @@ def quality_report(
         F.coalesce("suspension_count", F.lit(0)).alias("suspension_count"),
         F.coalesce("suspension_ratio", F.lit(0.0)).alias("suspension_ratio"),
         F.coalesce("invalid_ohlc_count", F.lit(0)).alias("invalid_ohlc_count"),
-        F.when(~empty, span_row).alias("date_range"),
+        F.when(~empty, F.col("date_range")).alias("date_range"),
         "anomalies",
         "status",
         "quality_score",

@@ -26,8 +26,8 @@ def sampled_source_audit(
     start = (date.fromisoformat(end) - timedelta(days=lookback_days)).isoformat()
     return audit_sources(
         codes,
-        primary.join(codes, "ts_code", "left_semi"),
-        secondary.join(codes, "ts_code", "left_semi"),
+        primary,
+        secondary,
         start,
         end,
         audit_date,

@@ -11,9 +11,10 @@ from barlake.operators.quality import QualityRules, quality_report, report_json
 from barlake.operators.runs import run_status, run_tallies
 from barlake.operators.universe import stock_pool
 from barlake.plans.audit import sampled_source_audit
-from barlake.plans.incremental import incremental_plan, run_full_refresh, run_incremental
+from barlake.plans.incremental import incremental_plan, run_full_refresh, run_incremental, run_rows
+from barlake.sources.routing import fill_windows
 from barlake.storage import upserts
-from barlake.storage.anchors import current_anchors
+from barlake.storage.anchors import current_anchors, current_directory
 from barlake.storage.store import init_store, open_store, table_path
 
 
@@ -34,7 +35,7 @@ class Feeds:
 
     calendar: DataFrame
     instruments: DataFrame
-    bars: DataFrame  # with ingest_seq
+    bars: DataFrame | dict[str, DataFrame]  # with ingest_seq; by source, the preferred one first
     factors: DataFrame
     name_history: DataFrame | None = None
     basics: DataFrame | None = None
@@ -114,22 +115,24 @@ def _steps(
     open_days = store["trade_calendar"].filter("is_open = 1").select("trade_date")
     outcomes = outcomes_path(root, run_id)
     stored = None if full_refresh else current_anchors(spark, path("daily_kline"))
-    _outcomes(pool, feeds.bars, incremental_plan(pool, stored, settings.base_start, day), day).write.mode("overwrite").parquet(outcomes)
+    plan = incremental_plan(pool, stored, settings.base_start, day)
+    landed = _routed(spark, path("daily_kline"), feeds.bars, plan, day)
     step = run_full_refresh if full_refresh else run_incremental
     step(
-        spark, path("daily_kline"), feeds.bars, pool, feeds.factors, open_days,
+        spark, path("daily_kline"), landed, pool, feeds.factors, open_days,
         settings.base_start, day, settings.max_daily_pct,
     )
+    _outcomes(pool, *run_rows(spark, path("daily_kline"))).write.mode("overwrite").parquet(outcomes)
 
     store = open_store(spark, root)
     bars = store["daily_kline"]
     section = cross_section(bars, store["daily_basic"], day)
     asked = spark.range(1).select(F.lit(day).cast("date").alias("trade_date"))
-    report = quality_report(section, bars, day, settings.rules, asked)
+    report = quality_report(section, current_directory(spark, path("daily_kline")), day, settings.rules, asked)
     upserts.save_reports(f"{root.rstrip('/')}/quality_reports", report)
     if feeds.second_source is not None:
         found = sampled_source_audit(
-            pool, feeds.bars, feeds.second_source, day, day, settings.audit_sample, settings.audit_lookback_days
+            pool, landed, feeds.second_source, day, day, settings.audit_sample, settings.audit_lookback_days
         )
         upserts.upsert_source_audit(spark, path("data_source_audit"), found)
 
@@ -154,18 +157,26 @@ def _steps(
     )
 
 
-def _outcomes(pool: DataFrame, landed: DataFrame, plan: DataFrame, day: str) -> DataFrame:
-    """Per pool instrument: ``cleaned`` with its landed rows, ``failed`` if it should have
-    had some, ``up_to_date`` if nothing was asked for."""
-    due = plan.withColumn("due", F.lit(True))
-    asked = (F.col("trade_date") >= F.col("start_date")) & (F.col("trade_date") <= F.lit(day).cast("date"))
-    rows = (
-        landed.select("ts_code", "trade_date").groupBy("ts_code", "trade_date").agg(F.lit(1).alias("one"))
-        .join(plan, "ts_code").filter(asked).groupBy("ts_code").agg(F.count("*").alias("n_rows"))
-    )
+def _routed(spark: SparkSession, path: str, bars: DataFrame | dict[str, DataFrame], plan: DataFrame, day: str) -> DataFrame:
+    """The landed bars; of several sources those that each instrument's window takes, as a table."""
+    if isinstance(bars, DataFrame):
+        return bars
+
+    def kept(rows: DataFrame, name: str) -> DataFrame:
+        rows.write.mode("overwrite").parquet(f"{path}__{name}")
+        return spark.read.schema(rows.schema).parquet(f"{path}__{name}")
+
+    requests = kept(plan.withColumn("end_date", F.lit(day).cast("date")), "requests")
+    return kept(fill_windows(requests, bars, lambda rows, name: kept(rows, f"open_{name}")).drop("source"), "routed")
+
+
+def _outcomes(pool: DataFrame, plan: DataFrame, written: DataFrame) -> DataFrame:
+    """Per pool instrument: ``cleaned`` with the rows the run stored, ``failed`` if it should have
+    stored some, ``up_to_date`` if nothing was asked for."""
+    due = plan.select("ts_code", F.lit(True).alias("due"))
     return (
         pool.join(due, "ts_code", "left")
-        .join(rows, "ts_code", "left")
+        .join(written, "ts_code", "left")
         .select(
             "ts_code",
             F.when(F.col("due").isNull(), "up_to_date").when(F.col("n_rows") > 0, "cleaned").otherwise("failed").alias("outcome"),

@@ -9,8 +9,8 @@ from barlake.operators.lookups import MONTH, latest_date_by_stock
 from barlake.operators.series import dedup_first, whole_series
 from barlake.plans.cleaning import clean_bars
 from barlake.schemas import BAR_KEY, DAILY_KLINE, PRICES
-from barlake.storage.anchors import anchors_of, current_anchors, save_anchors
-from barlake.storage.tables import read_table, upsert
+from barlake.storage.anchors import anchors_of, current_directory, save_anchors
+from barlake.storage.tables import read_table, upsert, written_path
 
 OVERLAP_DAYS = 10
 
@@ -56,14 +56,36 @@ def bars_at(bars: DataFrame, days: DataFrame) -> DataFrame:
     return recent.join(days, list(BAR_KEY), "left_semi")
 
 
-def context_rows(stored: DataFrame, plan: DataFrame) -> DataFrame:
+CONTEXT_COLUMNS = (*PRICES, "vol", "amount", "adj_factor")
+
+
+def context_months(plan: DataFrame, directory: DataFrame) -> DataFrame:
+    """(``ts_code``, ``start_date``, month): where an instrument's last bar before its window can be.
+
+    That is the month of the window's start, which may hold bars on both sides of it, and the last month with
+    bars before that one: of the months in the directory up to the start, the last two."""
+    upto = F.filter("months", lambda m: m <= F.date_format("start_date", "yyyy-MM"))
+    last_two = F.slice(upto, F.greatest(F.size(upto) - 1, F.lit(1)), 2)
+    return plan.join(directory.select("ts_code", "months"), "ts_code").select("ts_code", "start_date", F.explode(last_two).alias(MONTH))
+
+
+def context_rows(stored: DataFrame, plan: DataFrame, directory: DataFrame | None = None) -> DataFrame:
     """The last stored bar before each instrument's window.
 
     It gives the first window row a predecessor for its return and its fills, and is
-    not written again.  Only codes and days are read to find it."""
-    before = stored.select(*BAR_KEY).join(plan, "ts_code").filter(F.col("trade_date") < F.col("start_date"))
-    days = before.groupBy("ts_code").agg(F.max("trade_date").alias("trade_date"))
-    return bars_at(stored, days).select(*BAR_KEY, *PRICES, "vol", "amount", "adj_factor")
+    not written again.  With a directory of the bars only the months named there are opened: a short list, found from
+    one row per instrument.  Without one, codes and days of all months are read to find the bar."""
+    if directory is None or MONTH not in stored.columns:
+        before = stored.select(*BAR_KEY).join(plan, "ts_code").filter(F.col("trade_date") < F.col("start_date"))
+        days = before.groupBy("ts_code").agg(F.max("trade_date").alias("trade_date"))
+        return bars_at(stored, days).select(*BAR_KEY, *CONTEXT_COLUMNS)
+    wanted = context_months(plan, directory)
+    months = [r[0] for r in wanted.select(MONTH).distinct().collect()]  # months, not data
+    rows = stored.filter(F.col(MONTH).isin(months)).select(*BAR_KEY, MONTH, *CONTEXT_COLUMNS).join(wanted, ["ts_code", MONTH])
+    last = rows.filter(F.col("trade_date") < F.col("start_date")).groupBy("ts_code").agg(
+        *[F.max_by(c, "trade_date").alias(c) for c in CONTEXT_COLUMNS], F.max("trade_date").alias("trade_date")
+    )
+    return last.select(*BAR_KEY, *CONTEXT_COLUMNS)
 
 
 def late_first_factors(stored: DataFrame, codes: DataFrame) -> DataFrame:
@@ -84,12 +106,13 @@ def incremental_batch(
     open_days: DataFrame,
     end: str,
     max_daily_pct: float = 15.0,
+    directory: DataFrame | None = None,
 ) -> DataFrame:
     """Clean rows of the read-again window, ready to be upserted.
 
     ``landed`` carries ``ingest_seq`` and the bar columns."""
     window = select_window(landed, plan, end)
-    context = context_rows(stored, plan)
+    context = context_rows(stored, plan, directory)
     # the context bar's own factor joins the feed, so fills continue from it
     factor_rows = factors.select(*BAR_KEY, "adj_factor").join(
         context.select(*BAR_KEY), list(BAR_KEY), "left_anti"
@@ -119,10 +142,11 @@ def run_incremental(
 
     The anchors come last and decide what is planned: a run that broke off anywhere is made
     good by the next one, which plans the same instruments again."""
-    known = current_anchors(spark, path)
-    plan = _kept(spark, incremental_plan(pool, known, base_start, end), f"{path.rstrip('/')}__plan")
-    batch = incremental_batch(read_table(spark, path, DAILY_KLINE), landed, plan, factors, open_days, end, max_daily_pct)
-    written = upsert(spark, path, DAILY_KLINE, batch, unique=True)
+    known = current_directory(spark, path)
+    plan = _kept(spark, incremental_plan(pool, known, base_start, end), plan_path(path))
+    stored = read_table(spark, path, DAILY_KLINE)
+    batch = incremental_batch(stored, landed, plan, factors, open_days, end, max_daily_pct, known)
+    written = upsert(spark, path, DAILY_KLINE, batch, unique=True, count_by="ts_code")
 
     moved = _kept(spark, window_anchors(read_table(spark, path, DAILY_KLINE), plan), f"{path.rstrip('/')}__moved")
     had_none = known.filter(F.col("last_factor").isNull()).select("ts_code")
@@ -145,14 +169,29 @@ def window_anchors(stored: DataFrame, plan: DataFrame) -> DataFrame:
 
 def updated_anchors(known: DataFrame, moved: DataFrame) -> DataFrame:
     """``known`` with the rows of ``moved``; what the window does not tell stays."""
-    new = moved.select("ts_code", F.col("latest_date").alias("new_date"), F.col("last_factor").alias("new_factor"))
+    new = moved.toDF(*["ts_code" if c == "ts_code" else f"new_{c}" for c in moved.columns])
+    none = F.array().cast("array<string>")
+    months = F.array_union(F.coalesce("months", none), F.coalesce("new_months", none))
     return known.join(new, "ts_code", "full_outer").select(
         "ts_code",
-        F.greatest("latest_date", "new_date").alias("latest_date"),
-        F.coalesce("new_factor", "last_factor").alias("last_factor"),
+        F.least("first_date", "new_first_date").alias("first_date"),
+        F.greatest("latest_date", "new_latest_date").alias("latest_date"),
+        F.coalesce("new_last_factor", "last_factor").alias("last_factor"),
+        F.array_sort(months).alias("months"),
     )
 
 
+def plan_path(path: str) -> str:
+    """What the last run into the bars at ``path`` planned to read."""
+    return f"{path.rstrip('/')}__plan"
+
+
+def run_rows(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Of the last run into the bars at ``path``: its plan, and the rows it wrote per instrument."""
+    plan = spark.read.schema("ts_code STRING, start_date DATE").parquet(plan_path(path))
+    return plan, spark.read.schema("ts_code STRING, n_rows LONG").parquet(written_path(path))
+
+
 def _kept(spark: SparkSession, rows: DataFrame, path: str) -> DataFrame:
     rows.write.mode("overwrite").parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
@@ -172,10 +211,10 @@ def run_full_refresh(
     """Read everything since ``base_start`` again, whatever is stored, and upsert it.
 
     Bars stored from before ``base_start`` share the new anchors."""
-    known = current_anchors(spark, path)
-    plan = _kept(spark, incremental_plan(pool, None, base_start, end), f"{path.rstrip('/')}__plan")
+    known = current_directory(spark, path)
+    plan = _kept(spark, incremental_plan(pool, None, base_start, end), plan_path(path))
     window = select_window(landed, plan, end, earliest=F.lit(base_start).cast("date"))
     batch = with_factors(clean_bars(window, open_days, max_daily_pct, order=None), factors)
-    written = upsert(spark, path, DAILY_KLINE, batch, unique=True)
+    written = upsert(spark, path, DAILY_KLINE, batch, unique=True, count_by="ts_code")
     save_anchors(spark, path, updated_anchors(known, window_anchors(read_table(spark, path, DAILY_KLINE), plan)))
     return written

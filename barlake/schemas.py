@@ -10,6 +10,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import (
+    ArrayType,
     BooleanType,
     DataType,
     DateType,
@@ -46,6 +47,7 @@ class TableSpec:
     partition_value: Callable[[], Column]
     # values that a *new* row takes for columns the batch does not carry
     insert_defaults: dict[str, object] = field(default_factory=dict)
+    append_only: bool = False
 
     @property
     def columns(self) -> list[str]:
@@ -249,6 +251,24 @@ PIPELINE_LOG = TableSpec(
     key=("id",),
     partition="run_year",
     partition_value=year_of("run_date"),
+    append_only=True,
+)
+
+# One row per instrument about its stored bars: which days and months they span, and the last factor.
+BAR_DIRECTORY = TableSpec(
+    "bar_directory",
+    _struct(
+        [
+            ("ts_code", _STR),
+            ("first_date", _DAY),
+            ("latest_date", _DAY),
+            ("last_factor", _DBL),
+            ("months", ArrayType(_STR)),
+        ]
+    ),
+    key=("ts_code",),
+    partition="market",
+    partition_value=lambda: market_of("ts_code"),
 )
 
 TABLES = {

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import date
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barlake.operators.lookups import MONTH
 from barlake.operators.runs import fold_run_log
 from barlake.operators.universe import research_universe
 from barlake.schemas import DAILY_KLINE, PIPELINE_LOG, TABLES, TableSpec
+from barlake.storage import versions
 from barlake.storage.anchors import read_adjusted
 from barlake.storage.tables import init_table, read_table
 
@@ -28,17 +31,40 @@ def _table(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
     return stored if spec.partition == MONTH else stored.select(*spec.columns)
 
 
+def by_days(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
+    """``rows`` of the table at ``path``, joined with every day of its months.
+
+    The join keeps all rows and adds nothing.  It is there for SQL that names days only: the condition
+    reaches the days, and when the query runs, the months they lie in prune the scan.  Days are computed,
+    a row each, and so is the size of what is broadcast."""
+    snapshot = versions.current(spark, path)
+    months = sorted(name.split("=", 1)[1] for name in snapshot.folders) if snapshot else []
+    if not months:
+        return rows
+    first, (year, month) = date.fromisoformat(f"{months[0]}-01"), map(int, months[-1].split("-"))
+    last = date(year + month // 12, month % 12 + 1, 1)
+    epoch = date(1970, 1, 1)
+    days = spark.range((first - epoch).days, (last - epoch).days, numPartitions=1)
+    day = F.date_from_unix_date(F.col("id").cast("int"))
+    days = days.select(day.alias("trade_date"), F.date_format(day, "yyyy-MM").alias(MONTH))
+    return rows.join(F.broadcast(days), ["trade_date", MONTH]).select(*rows.columns)
+
+
 def open_store(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The tables, the universe view and the folded run log, also as temporary views.
 
     ``daily_kline`` has its forward-adjusted prices derived from the last factors.  Tables of bars keep the column ``trade_month`` (``yyyy-MM``), and so does the universe: the lookups
-    by day filter it along with the day, and SQL should, so that other months are not opened.
-    Frames list the files when they are made: open the store again after a write."""
+    by day filter it along with the day.  SQL may name the day alone: the views find the months when
+    a query runs (see :func:`by_days`).  Frames show the state at their making: open the store again after a write."""
     frames = {name: _table(spark, root, spec) for name, spec in TABLES.items()}
     frames[PIPELINE_LOG.name] = fold_run_log(frames[PIPELINE_LOG.name])
-    frames["research_daily_universe"] = research_universe(
-        frames["daily_kline"], frames["stock_list"], frames["stock_name_history"]
-    )
-    for name, frame in frames.items():
-        frame.createOrReplaceTempView(name)
+    parts = (frames["stock_list"], frames["stock_name_history"])
+    frames["research_daily_universe"] = research_universe(frames["daily_kline"], *parts)
+    views = dict(frames)
+    for name, spec in TABLES.items():
+        if spec.partition == MONTH:
+            views[name] = by_days(spark, table_path(root, name), frames[name])
+    views["research_daily_universe"] = research_universe(views["daily_kline"], *parts)
+    for name, view in views.items():
+        view.createOrReplaceTempView(name)
     return frames

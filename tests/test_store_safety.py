@@ -95,11 +95,11 @@ def test_unknown_markets_share_a_partition(spark, frame, tmp_path):
 FACTOR = "ts_code STRING, trade_date DATE, adj_factor DOUBLE"
 
 
-def bar_files(path) -> dict[str, set[str]]:
-    """Names of the Parquet files of each month."""
+def bar_files(spark, path) -> dict[str, set[str]]:
+    """The Parquet files that now make up each month."""
     found: dict[str, set[str]] = {}
-    for file in path.glob("trade_month=*/*.parquet"):
-        found.setdefault(file.parent.name, set()).add(file.name)
+    for file in read_table(spark, str(path), DAILY_KLINE).inputFiles():
+        found.setdefault(file.split("/")[-2], set()).add(file)
     return found
 
 
@@ -150,9 +150,10 @@ def test_a_new_factor_rewrites_no_older_month(spark, frame, bars, tmp_path):
     feed = bars([(c, x, 10.0, 10.0, 10.0, 10.0, 1.0, 1.0) for c in ("A.SZ", "B.SZ") for x in at]).withColumn("ingest_seq", F.lit(1).cast("long"))
     first = [("A.SZ", at[0], 1.0), ("B.SZ", at[0], 1.0)]
     incremental.run_full_refresh(spark, str(path), feed, pool, frame(FACTOR, first), days, at[0], at[-2])
-    before = bar_files(path)
+    before = bar_files(spark, path)
     incremental.run_incremental(spark, str(path), feed, pool, frame(FACTOR, [*first, ("A.SZ", at[-1], 2.0)]), days, at[0], at[-1])
-    after = bar_files(path)
+    after = bar_files(spark, path)
+    assert len(before) == 7
     # the overlap reaches back ten days from the last stored bar, into June
     assert all(after[m] == before[m] for m in before if m < "trade_month=2024-06")
     got = {(r.ts_code, str(r.trade_date)): r.adj_close_qfq for r in read_adjusted(spark, str(path)).collect()}

@@ -15,6 +15,8 @@ CUTOFF = "2024-01-20"
 FIRST_DAY = "2024-01-01"
 LAST_DAY = "2024-01-30"
 AS_OF = "2024-02-01"
+CORRECTED_FROM = "2024-01-15"
+WINDOWS = (("2024-01-03", "2024-01-10"), ("2024-01-15", "2024-01-25"))
 A_DAY = "2024-01-16"
 AN_INSTRUMENT = "300007.SZ"
 
@@ -112,11 +114,11 @@ def factors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def instruments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers outside the BUILDING segment; a negative balance is an ST name."""
+    """All customers; a negative balance is an ST name."""
     nation = load(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("area"))
     key = F.col("c_custkey")
     return (
-        load(spark, sf_dir, "customer").filter("c_mktsegment <> 'BUILDING'")
+        load(spark, sf_dir, "customer")
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
         .withColumn("symbol", symbol("c_custkey"))
         .select(
@@ -134,6 +136,11 @@ def instruments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def known_instruments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For the universe: metadata of the BUILDING segment is missing."""
+    return instruments(spark, sf_dir).filter("industry <> 'BUILDING'")
+
+
 def name_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Name intervals from errors above 100: three days long, some open-ended, some ST."""
     start = F.col("trade_date")
@@ -176,6 +183,22 @@ def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def restated_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reports, and a third of them announced once more 100 days later."""
+    first = reports(spark, sf_dir)
+    again = first.filter(F.floor("eps") % 3 == 0).withColumns({"ann_date": F.date_add("ann_date", 100), "eps": F.col("eps") + 1})
+    return first.unionByName(again)
+
+
+def customer_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A close per customer and day with orders, over the years of the reports."""
+    return (
+        load(spark, sf_dir, "orders")
+        .groupBy(ts_code_of(symbol("o_custkey")).alias("ts_code"), F.to_date("o_orderdate").alias("trade_date"))
+        .agg(F.max("o_totalprice").alias("close"))
+    )
+
+
 def supplier_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The large one: a bar per supplier and shipping day, ticks in order of order, line, part."""
     price = F.col("l_extendedprice") / F.col("l_quantity")

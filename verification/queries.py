@@ -10,7 +10,7 @@ from barlake.functions.codes import exchange_of, suffix_of, symbol_of, ts_code_o
 from barlake.functions.columns import clean_numeric as null_non_finite
 from barlake.functions.columns import number
 from barlake.functions.dates import business_days, calendar_parts, request_day
-from barlake.operators import adjust, audit, calendar, lookups, outliers, quality, runs, series, universe
+from barlake.operators import adjust, asof, audit, calendar, lookups, outliers, quality, runs, series, universe
 from barlake.plans.audit import sampled_source_audit
 from barlake.plans.cleaning import clean_and_adjust, clean_bars
 from barlake.plans.daily import Feeds, Settings, daily_run, outcomes_path
@@ -34,6 +34,7 @@ from barlake.session import scratch_path, tune
 from barlake.sources import frames, instruments as instrument_lists, payloads, routing
 from barlake.storage import tables, upserts
 from barlake.storage.anchors import read_adjusted
+from barlake.storage.store import init_store, open_store, table_path
 from barlake.streaming.ingest import stream_upsert_bars
 from verification import domain as d
 
@@ -212,7 +213,7 @@ def instruments_union(spark, sf_dir):
     feed = d.instruments(spark, sf_dir).withColumns(
         {"list_date": text_date("list_date"), "delist_date": text_date("delist_date")}
     )
-    listed = feed.filter("list_date is not null").drop("list_status", "delist_date")
+    listed = feed.drop("list_status", "delist_date")
     delisted = feed.filter("list_status = 'D'").drop("list_status")
     both = instrument_lists.union_listed_delisted(listed, delisted)
     return both.select("ts_code", "name", "list_date", "delist_date", "list_status")
@@ -233,6 +234,24 @@ def source_priority_pick(spark, sf_dir):
     return chosen.select(*BAR_KEY, "close", "source")
 
 
+@query
+def source_windows(spark, sf_dir):
+    """Two windows of every instrument: what the rare first source lacks the second fills, and the third the rest."""
+    codes = d.bars(spark, sf_dir).select("ts_code").distinct()
+    windows = F.array(*[F.struct(dated(a).alias("start_date"), dated(b).alias("end_date")) for a, b in d.WINDOWS])
+    rare = d.ticks(spark, sf_dir).filter("close > 200").groupBy(*BAR_KEY).agg(F.max("close").alias("close"))
+    every = d.bars(spark, sf_dir).select(*BAR_KEY, "close")
+    requests = codes.select("ts_code", F.inline(windows))
+    found = routing.fill_windows(requests, {"first": rare, "second": d.second_source(spark, sf_dir), "third": every})
+    return found.select(*BAR_KEY, "close", "source")
+
+
+@query
+def as_of_reports(spark, sf_dir):
+    found = asof.with_known_report(d.customer_bars(spark, sf_dir), d.restated_reports(spark, sf_dir), ("eps", "bps"))
+    return found.select(*BAR_KEY, "close", "ann_date", "end_date", "eps", "bps")
+
+
 @query
 def batch_union(spark, sf_dir):
     parts = (d.bars(spark, sf_dir).drop("amount"), d.second_source(spark, sf_dir), d.factors(spark, sf_dir))
@@ -391,6 +410,35 @@ def full_refresh_bars(spark, sf_dir):
     return _bar_state(spark, path)
 
 
+@query
+def rebuild_bars(spark, sf_dir):
+    """A table written from scratch at a new path, and the old one as it was."""
+    old = stored_table(spark, DAILY_KLINE, _stored_bars(spark, sf_dir).withColumn("close", F.lit(1.0)))
+    missing = {c: F.lit(None).cast(DAILY_KLINE.schema[c].dataType) for c in DAILY_KLINE.columns}
+    clean = _clean(spark, sf_dir)
+    rows = clean.withColumns({c: v for c, v in missing.items() if c not in clean.columns})
+    tables.rebuild(spark, f"{old}-rebuilt", DAILY_KLINE, rows)
+    both = [table_state(spark, p, DAILY_KLINE).withColumn("which", F.lit(w)) for p, w in ((old, "old"), (f"{old}-rebuilt", "new"))]
+    return both[0].unionByName(both[1]).select("which", *BAR_KEY, *PRICES, "vol", "pct_chg", *FLAGS)
+
+
+@query
+def sql_store_day(spark, sf_dir):
+    """The universe of a stored day in SQL that names the day alone."""
+    root = scratch_path(spark, "store")
+    init_store(spark, root)
+    tables.upsert(spark, table_path(root, "daily_kline"), DAILY_KLINE, _clean(spark, sf_dir), unique=True)
+    upserts.upsert_instruments(spark, table_path(root, "stock_list"), d.known_instruments(spark, sf_dir), "2024-01-01 00:00:00")
+    upserts.upsert_name_history(spark, table_path(root, "stock_name_history"), d.name_history(spark, sf_dir))
+    open_store(spark, root)
+    return lookups.raw_sql(
+        spark,
+        "SELECT ts_code, trade_date, close, name, is_st_on_date, is_in_universe, exclude_reason FROM research_daily_universe"
+        " WHERE trade_date = CAST(:day AS DATE)",
+        {"day": d.A_DAY},
+    )
+
+
 def _bar_state(spark, path):
     return read_adjusted(spark, path).select(
         *BAR_KEY, *PRICES, "vol", "amount", "pct_chg", "adj_factor", *QFQ_PRICES, *FLAGS
@@ -513,7 +561,7 @@ def _clean(spark, sf_dir, max_daily_pct=WIDE_MOVE):
 
 
 def _universe(spark, sf_dir):
-    return universe.research_universe(_clean(spark, sf_dir), d.instruments(spark, sf_dir), d.name_history(spark, sf_dir))
+    return universe.research_universe(_clean(spark, sf_dir), d.known_instruments(spark, sf_dir), d.name_history(spark, sf_dir))
 
 
 @query
@@ -539,7 +587,7 @@ def adj_factor_join(spark, sf_dir):
 
 @query
 def universe_meta_join(spark, sf_dir):
-    joined = universe.with_instrument_meta(d.bars(spark, sf_dir), d.instruments(spark, sf_dir))
+    joined = universe.with_instrument_meta(d.bars(spark, sf_dir), d.known_instruments(spark, sf_dir))
     return joined.select(*BAR_KEY, "close", "name", "area", "industry", "list_date", "delist_date", "has_meta")
 
 
@@ -629,10 +677,10 @@ BASIC_RULES = quality.QualityRules(min_stock_count=100, known_missing=("amount",
 
 
 def _report(spark, sf_dir, rules=RULES):
-    bars, sections = _sections(spark, sf_dir)
+    bars = clean_and_adjust(d.bars(spark, sf_dir), d.factors(spark, sf_dir), d.open_days(spark, sf_dir), order=None)
     day = F.col("trade_date")
     requested = d.calendar(spark, sf_dir).select(F.explode(F.array(day, F.date_add(day, 2))).alias("trade_date"))
-    return quality.quality_report(sections, bars, d.AS_OF, rules, requested)
+    return quality.store_report(bars, d.basics(spark, sf_dir), d.AS_OF, rules, requested)
 
 
 @query
@@ -704,7 +752,8 @@ def open_days_per_year(spark, sf_dir):
 @query
 def run_status(spark, sf_dir):
     tallies = runs.run_tallies(d.outcomes(spark, sf_dir), "trade_date")
-    return tallies.withColumn("status", runs.run_status())
+    report = _report(spark, sf_dir).select("trade_date", F.col("status").alias("report_status"))
+    return tallies.join(report, "trade_date", "left").withColumn("status", runs.run_status(F.col("report_status")))
 
 
 @query
@@ -922,13 +971,16 @@ def source_audit_sample(spark, sf_dir):
 
 @query
 def stream_upsert_bars_(spark, sf_dir):
-    landing, path, checkpoint = (scratch_path(spark, n) for n in ("landing", "bars", "stream"))
+    landing, path, checkpoint, again = (scratch_path(spark, n) for n in ("landing", "bars", "stream", "stream"))
     feed = d.landed_bars(spark, sf_dir)
-    # the file source takes files in landing order; keys do not repeat across the two runs
-    early = F.col("trade_date") <= dated(d.CUTOFF)
-    for part in (feed.filter(early), feed.filter(~early)):
+    # the second landing corrects the last days of the first one and adds later ones
+    early = feed.filter(F.col("trade_date") <= dated(d.CUTOFF))
+    corrected = feed.filter(F.col("trade_date") >= dated(d.CORRECTED_FROM)).withColumn("close", F.col("close") + 1)
+    for part in (early, corrected):
         part.write.mode("append").parquet(landing)
         stream_upsert_bars(spark, landing, feed.schema, path, checkpoint).awaitTermination()
+    # a stream that has lost its checkpoint reads both again, and changes nothing
+    stream_upsert_bars(spark, landing, feed.schema, path, again, files_per_batch=1).awaitTermination()
     return table_state(spark, path, DAILY_KLINE).select(*BAR_KEY, *PRICES, "vol", "amount", *FLAGS)
 
 
