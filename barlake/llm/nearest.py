@@ -8,12 +8,13 @@ which keeps the lists balanced.  The centroids are linked in a graph of near nei
 every worker searches in memory, best first from the coarse centres.
 
 Every vector is posted: to its nearest list and, where it lies near a boundary, to up to
-``REPLICAS`` lists whose distance is within ``BOUNDARY`` of the least.  A query searches the
-graph for its nearest lists and drops those whose distance is more than ``RATIO`` times the
-least, but never those it needs to meet ``k`` others; it goes on to further lists for these.
-How many lists a query probes is measured on every table: ``SAMPLE_QUERIES`` queries are
-compared with brute force, and the probes grow until their recall, less two standard errors,
-is ``RECALL`` or all lists are probed.  Lists of one coarse cluster are scored in one task; a cluster with many rows (copies of
+``REPLICAS`` lists whose distance is within ``BOUNDARY`` of the least.  A query walks the
+graph to its nearest lists and probes those whose distance is at most a ratio of the least, and
+always those it needs to meet ``k`` others; so a query amid its neighbours probes few lists and one
+between clusters many.  The ratio is measured on every table: ``SAMPLE_QUERIES`` queries are
+compared with brute force, and it is the least one with which their recall, less two standard errors,
+is ``RECALL``.  A least distance below the sample's median counts as that median, since a query that is a
+centroid itself has no distance to take a ratio of.  Lists of one coarse cluster are scored in one task; a cluster with many rows (copies of
 one vector, say) is divided into parts by hash and every part is asked, and many queries to one
 cluster are divided likewise, so no task grows with a hot vector.  Each task returns its best
 ``k`` for a query, and the best of these are the result.
@@ -43,9 +44,11 @@ REPLICAS = 3
 BOUNDARY = 1.06  # of the distance to the nearest centroid
 RECALL = 0.9  # of the sampled queries' ``k`` nearest
 SAMPLE_QUERIES = 128
-LEAST_PROBES, GROWTH = 4, 1.2
-RATIO = 2.5
+#: Lists that a walk looks for at first; it goes on while the last one is within the ratio.
+FIRST_WALK = 32
 DEGREE = 16
+#: Bytes of the sample that the centroids are fitted on, at most; it is fitted by the driver.
+SAMPLE_BYTES = 256 << 20
 #: Rows of a coarse cluster that one task scores, and queries it answers.
 PART_ROWS, PART_QUERIES = 16_384, 4_096
 
@@ -168,10 +171,11 @@ def valid(vectors: DataFrame) -> DataFrame:
 
 def build(rows: DataFrame) -> tuple[Index, float] | None:
     """The index of a stored table of valid vectors, and the largest squared norm."""
-    total = rows.agg(F.count(F.lit(1)).alias("n"), F.max("norm2").alias("largest")).first()
+    total = rows.agg(F.count(F.lit(1)).alias("n"), F.max("norm2").alias("largest"), F.max("size").alias("size")).first()
     if not total["n"]:
         return None
-    lists = int(min(max(1, total["n"] // ROWS_PER_LIST), MAX_LISTS))
+    most = SAMPLE_BYTES // (4 * total["size"] * SAMPLE_PER_LIST)
+    lists = int(min(max(1, total["n"] // ROWS_PER_LIST), MAX_LISTS, max(1, most)))
     order = [F.xxhash64("vec_id"), "vec_id"]
     sample = rows.select("vec_id", F.col("x").cast("array<float>").alias("x")).orderBy(*order).limit(lists * SAMPLE_PER_LIST)
     x = _matrix(sample.toPandas()["x"])  # bounded: lists and rows per list
@@ -226,20 +230,32 @@ def home_sizes(postings: DataFrame, index: Index) -> np.ndarray:
     return home
 
 
-def chosen(index: Index, x: np.ndarray, probes: int, home: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+class Reach:
+    """How far from a query the lists lie that it probes: ``ratio`` times its distance to the nearest
+    centroid, or times ``least`` where that is more."""
+
+    def __init__(self, ratio: float, least: float = 0.0) -> None:
+        self.ratio, self.least = ratio, least
+
+    def within(self, dist: np.ndarray, nearest: np.ndarray) -> np.ndarray:
+        """Of squared distances."""
+        return dist <= np.maximum(nearest, self.least**2) * self.ratio**2 + 1e-12
+
+
+def chosen(index: Index, x: np.ndarray, reach: Reach, home: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows of queries and the lists they probe: the nearest ones that hold ``k`` + 1 vectors
-    together, and of the ``probes`` nearest those within ``RATIO``."""
+    together, and all within reach."""
     x = np.concatenate([x, np.zeros((len(x), 1), np.float32)], 1)
-    todo, n = np.arange(len(x)), min(max(1, probes), len(index.centres))
+    todo, n = np.arange(len(x)), min(FIRST_WALK, len(index.centres))
     rows, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     while len(todo):
         lists, dist = index.search(x[todo], n)
         real = np.isfinite(dist)
         size = np.where(real, home[lists], 0)
         held = np.cumsum(size, 1)
-        within = (np.arange(lists.shape[1]) < probes) & (dist <= dist[:, :1] * RATIO**2 + 1e-12)
+        within = reach.within(dist, dist[:, :1])
         keep = real & (within | (held - size <= k))
-        full = (held[:, -1] > k) | (n == len(index.centres))
+        full = ((held[:, -1] > k) & ~(real & within)[:, -1]) | (n == len(index.centres))
         i, j = np.nonzero(keep & full[:, None])
         rows.append(todo[i])
         found.append(lists[i, j])
@@ -272,37 +288,38 @@ def nearest_by_force(rows: DataFrame, sample: pd.DataFrame, k: int) -> DataFrame
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "vec_id")
 
 
-def fitted_probes(
-    rows: DataFrame, is_query: Column, index: Index, postings: DataFrame, home: np.ndarray, k: int = K, least: float = RECALL
-) -> int:
-    """Lists to probe for a recall of ``least`` on a sample of the queries."""
+def fitted_reach(
+    rows: DataFrame, is_query: Column, index: Index, postings: DataFrame, k: int = K, least: float = RECALL
+) -> Reach:
+    """The least ratio with a recall of ``least`` on a sample of the queries."""
     sample = rows.filter(is_query).select("vec_id", "x").orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_QUERIES)
     sample = sample.toPandas().drop_duplicates("vec_id")
     if not len(sample):
-        return LEAST_PROBES
+        return Reach(1.0)
+    x = _matrix(sample["x"])
+    dist = np.sqrt(squared(np.concatenate([x, np.zeros((len(x), 1), np.float32)], 1), index.centres))
+    median = float(np.median(dist.min(1)))
     truth = saved(nearest_by_force(rows, sample, k), "nearest")
     held = postings.select("vec_id", "list").join(F.broadcast(truth), "vec_id").distinct().toPandas()  # of the sample
     if not len(held):
-        return LEAST_PROBES
-    at = pd.Series(np.arange(len(sample)), index=sample["vec_id"].to_numpy())
-    held["at"] = at[held["query_id"].to_numpy()].to_numpy()
-    probes = min(LEAST_PROBES, len(index.centres))
-    while probes < len(index.centres):
-        seen = np.zeros((len(sample), len(index.centres)), dtype=bool)
-        seen[chosen(index, _matrix(sample["x"]), probes, home, k)] = True
-        held["hit"] = seen[held["at"].to_numpy(), held["list"].to_numpy()]
-        each = held.groupby(["at", "vec_id"])["hit"].max().groupby("at").mean()
+        return Reach(1.0, median)
+    at = pd.Series(np.arange(len(sample)), index=sample["vec_id"].to_numpy())[held["query_id"].to_numpy()].to_numpy()
+    base = np.maximum(dist.min(1), max(median, 1e-6))
+    # the ratio that a neighbour asks for: that of the nearest list it is posted to
+    held = pd.DataFrame({"at": at, "vec_id": held["vec_id"].to_numpy(), "ratio": dist[at, held["list"].to_numpy()] / base[at]})
+    asked = held.groupby(["at", "vec_id"])["ratio"].min().reset_index()
+    for ratio in np.sort(asked["ratio"].to_numpy())[int(least * len(asked)) :]:
+        each = (asked["ratio"] <= ratio).groupby(asked["at"]).mean()
         if each.mean() - 2 * each.std(ddof=0) / len(each) ** 0.5 >= least:
             break
-        probes = min(len(index.centres), max(probes + 1, round(probes * GROWTH)))
-    return probes
+    return Reach(float(ratio) * (1 + 1e-6), median)
 
 
 def search(
-    vectors: DataFrame, is_query: Column, k: int = K, probes: int | None = None, replicas: int = REPLICAS
+    vectors: DataFrame, is_query: Column, k: int = K, reach: Reach | None = None, replicas: int = REPLICAS
 ) -> DataFrame:
     """query_id, rank (from 1), vec_id and score of the ``k`` nearest of every query row; without
-    ``probes`` their number is measured (see ``fitted_probes``)."""
+    ``reach`` the ratio is measured (see ``fitted_reach``)."""
     spark = vectors.sparkSession
     on_workers(spark)
     rows = saved(valid(vectors), "vectors")
@@ -314,14 +331,14 @@ def search(
 
     postings = posted(rows, index, largest, replicas)
     home = home_sizes(postings, index)
-    if probes is None:
-        probes = fitted_probes(rows, is_query, index, postings, home, k)
+    if reach is None:
+        reach = fitted_reach(rows, is_query, index, postings, k)
 
     def probe(batches):
         for pdf in batches:
             for at in range(0, len(pdf), 1024):
                 part = pdf.iloc[at : at + 1024]
-                i, found = chosen(index, _matrix(part["x"]), probes, home, k)
+                i, found = chosen(index, _matrix(part["x"]), reach, home, k)
                 each = pd.DataFrame({"row": i, "coarse": index.cluster[found], "list": found})
                 each = each.groupby(["row", "coarse"])["list"].apply(list).reset_index()
                 own = part.iloc[each["row"].to_numpy()]

@@ -247,31 +247,35 @@ def test_nearest_of_isolated_vectors(spark):
     x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
     x[1590:, 14:] = np.eye(10)  # each far from all others: a list with one member
     vectors = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "vec_id LONG, embedding ARRAY<FLOAT>")
-    for probes in (None, 4):
-        found = nearest.search(vectors, F.col("vec_id") >= 1580, probes=probes).groupBy("query_id").count().collect()
+    for reach in (None, nearest.Reach(1.0)):
+        found = nearest.search(vectors, F.col("vec_id") >= 1580, reach=reach).groupBy("query_id").count().collect()
         assert len(found) == 20 and all(r["count"] == 20 for r in found)
 
 
-def test_probes_grow_until_the_sample_has_its_neighbours(spark):
+def test_the_ratio_gives_the_sample_its_neighbours(spark):
     from pyspark.sql import functions as F
 
     x = np.random.default_rng(5).normal(size=(3000, 32)).astype(np.float32)
     vectors = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "vec_id LONG, embedding ARRAY<FLOAT>")
     is_query = F.col("vec_id") % 20 == 0
 
-    def recall(probes):
-        found = nearest.search(vectors, is_query, probes=probes).toPandas()
+    def recall(reach):
+        found = nearest.search(vectors, is_query, reach=reach).toPandas()
         best = {q: set(np.argsort(-np.where(np.arange(3000) == q, -np.inf, x @ x[q]))[:20]) for q in range(0, 3000, 20)}
         return sum(len(best[q] & set(part["vec_id"])) for q, part in found.groupby("query_id")) / (20 * len(best))
 
-    assert recall(2) < 0.9 <= recall(None)
+    assert recall(nearest.Reach(1.01)) < 0.9 <= recall(None)
     rows = nearest.saved(nearest.valid(vectors), "vectors")
     index, largest = nearest.build(rows)
     postings = nearest.posted(rows, index, largest)
     home = nearest.home_sizes(postings, index)
     assert home.sum() == 3000
-    few, many = (nearest.fitted_probes(rows, is_query, index, postings, home, 20, least) for least in (0.3, 0.9))
-    assert 1 <= few < many <= len(index.centres)
+    few, many = (nearest.fitted_reach(rows, is_query, index, postings, 20, least) for least in (0.3, 0.9))
+    assert 1 <= few.ratio < many.ratio and few.least == many.least > 0
+    # a query's own surroundings decide how many lists it probes
+    x = nearest._matrix(rows.filter(is_query).toPandas()["x"])
+    probed = np.bincount(nearest.chosen(index, x, few, home, 20)[0])
+    assert probed.min() < probed.max() < len(index.centres)
 
 
 def test_shards(spark, odd_docs, no_docs):
