@@ -3,8 +3,11 @@
 Both families of tokenizers used here end a token before a single space that follows other
 text, so a text can be cut before its spaces and the pieces encoded on their own.  Pieces
 repeat, so each worker keeps the ids of those it has met; only new ones reach the tokenizer,
-many at a time.  The memo is emptied when it holds ``MEMO`` pieces, so memory is bounded;
-that changes speed only, never ids."""
+many at a time.  A new piece is cut further where the tokenizer ends a token anyway: at line ends and before a
+mark at its end, and where upper case makes no difference it is looked up in lower case.  The memo
+is emptied when it holds ``MEMO`` pieces, so memory is bounded; that changes speed only, never ids.
+
+A text that holds the string of a special token is encoded whole, as the library does it."""
 
 from __future__ import annotations
 
@@ -21,8 +24,8 @@ MEMO = 700_000
 LONG = 256
 #: Characters of texts that are looked up together.
 TEXT_CHARS = 1 << 18
-#: Characters of new pieces in one call; the library is slower on long texts.
-CALL_CHARS = 1024
+#: Characters of new pieces in one text for the library, which is slower on long ones, and texts in one call.
+CALL_CHARS, CALL_TEXTS = 1024, 64
 #: A space within a longer run of white space: the run is one unit of the tokenizers.
 _RUN = re.compile(r"\s \s")
 _HALF_RUN = re.compile(r" \s")
@@ -42,116 +45,215 @@ def cut(text: str) -> list[str] | None:
 class Chunked:
     """Ids of whole texts as little-endian unsigned 32-bit integers."""
 
-    def __init__(self) -> None:
+    #: Whether upper case makes no difference.
+    folds = False
+
+    def __init__(self, name: str) -> None:
+        self.tokenizer = _load(name)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         #: Ids of a space and the part that is the key.
         self.memo: dict[str, bytes] = {}
-        self.ends: dict[str, bytes] = {}
+        #: Ids of parts with no space in front.
+        self.bare: dict[str, bytes] = {}
+        self.ends = {mark: self.whole(mark) for mark in _ENDS}
 
     def whole(self, text: str) -> bytes:
         """Ids of one text in one go."""
+        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def pieces(self, part: str) -> list[str]:
+        """What a part with a space in front consists of; pieces after the first have none in front."""
+        raise NotImplementedError
+
+    def new(self, spaced: list[str], bare: list[str]) -> None:
+        """Encodes pieces into ``memo`` and ``bare``."""
         raise NotImplementedError
 
-    def new(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces that begin with a space."""
+    def between(self) -> bytes:
+        """Ids between two pieces of a part."""
         raise NotImplementedError
 
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        out = []
+        for at in range(0, len(texts), CALL_TEXTS):
+            out += [e.ids for e in self.tokenizer.encode_batch_fast(texts[at : at + CALL_TEXTS], add_special_tokens=False)]
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.memo) > MEMO:
+        if len(self.memo) + len(self.bare) > MEMO:
             self.memo.clear()
+            self.bare.clear()
         if not self.memo:
             self.memo[""] = self.whole(" ")
-            self.ends = {mark: self.whole(mark) for mark in _ENDS}
-        memo = self.memo
+            self.bare[""] = b""
+        memo, bare = self.memo, self.bare
         # per text its ids by part, and the parts still to come; known parts are let go at once
         rows: list[tuple[list[bytes | None], list[tuple[int, str]]]] = []
         fresh: set[str] = set()
         for text in texts:
-            parts = cut(text)
+            parts = None if any(s in text for s in self.special) else cut(text)
             if parts is None:
                 rows.append(([self.whole(text)], []))
                 continue
             ids = list(map(memo.get, parts))
-            ids[0] = self.whole(parts[0]) if parts[0] else b""
+            ids[0] = bare.get(parts[0])
+            if ids[0] is None:
+                ids[0] = self.whole(parts[0])
+                if len(parts[0]) <= LONG:
+                    bare[parts[0]] = ids[0]
             gaps = [(i, parts[i]) for i, known in enumerate(ids) if known is None] if None in ids else []
             fresh.update([part for _, part in gaps])
             rows.append((ids, gaps))
-        stems = {p: p[:-1] for p in fresh if p[-1] in _ENDS and len(p) > 1 and p[-2].lower().isalpha()}
-        plain = fresh.difference(stems)
-        plain.update(stem for stem in stems.values() if stem not in memo)
-        for group in grouped(plain, len, CALL_CHARS):
-            memo.update(zip(group, self.new([" " + p for p in group])))
-        for piece, stem in stems.items():
-            memo[piece] = memo[stem] + self.ends[piece[-1]]
+        self._learn(fresh)
         out = []
         for ids, gaps in rows:
             for i, part in gaps:
                 ids[i] = memo[part]
             out.append(b"".join(ids))
-        for p in plain.union(stems):
+        for p in fresh:
             if len(p) > LONG:
                 del memo[p]
         return out
 
+    def _learn(self, fresh: set[str]) -> None:
+        """Ids of new parts into the memo: those of their stems, encoded if they are new, and of what follows these."""
+        memo, bare, ends, folds = self.memo, self.bare, self.ends, self.folds
+        spaced: set[str] = set()
+        composed, cut_up = [], []
+        for part in fresh:
+            if "\n" in part:
+                cut_up.append((part, [_stem(piece) for piece in self.pieces(part)]))
+                continue
+            stem, mark = _stem(part) if part[-1] in ends else (part, "")
+            if folds and stem.isascii():
+                stem = stem.lower()
+            if stem not in memo:
+                spaced.add(stem)
+            if stem is not part:
+                composed.append((part, stem, mark))
+        spaced.update(c[0][0] for _, c in cut_up if c[0][0] not in memo)
+        others = {stem for _, c in cut_up for stem, _ in c[1:]}.difference(bare)
+        self.new(list(spaced), list(others))
+        for part, stem, mark in composed:
+            memo[part] = memo[stem] + ends[mark] if mark else memo[stem]
+        joint = self.between()
+        for part, ((stem, mark), *rest) in cut_up:
+            ids = memo[stem] + ends[mark] if mark else memo[stem]
+            for stem, mark in rest:
+                ids += joint + bare[stem] + (ends[mark] if mark else b"")
+            memo[part] = ids
+        for p in (spaced | others) - fresh:
+            if len(p) > LONG:
+                memo.pop(p, None)
+                bare.pop(p, None)
+
+
+def _stem(piece: str) -> tuple[str, str]:
+    """A piece without the mark at its end that is a unit of its own, and that mark."""
+    if len(piece) > 1 and piece[-1] in _ENDS and piece[-2].lower().isalpha():
+        return piece[:-1], piece[-1]
+    return piece, ""
+
 
 def _load(name: str):
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(name if os.path.sep in name else public_tokenizers.path(name))
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    return tokenizer
+    return Tokenizer.from_file(name if os.path.sep in name else public_tokenizers.path(name))
 
 
 def _packed(ids: list[int]) -> bytes:
     return np.array(ids, dtype="<u4").tobytes()
 
 
-def _sliced(ids: list[int], first: np.ndarray, n: int) -> list[bytes]:
-    """The ids of each of ``n`` pieces; ``first``: for each id, the number of its piece."""
-    data = _packed(ids)
-    ends = np.searchsorted(first, np.arange(n), side="right") * 4
-    return [data[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
-
-
 class ByteLevel(Chunked):
     """A byte-level BPE file of the tokenizers library: every id stands for certain bytes, so
     the ids of many pieces encoded in one text are told apart by adding up byte lengths."""
 
     def __init__(self, name: str) -> None:
-        super().__init__()
-        self.tokenizer = _load(name)
+        super().__init__(name)
         names = self.tokenizer.get_vocab(with_added_tokens=True)
         self.length = np.zeros(max(names.values()) + 1, dtype=np.int64)
         for piece, i in names.items():
             self.length[i] = len(piece)  # one character of a piece stands for one byte
-
-    def whole(self, text: str) -> bytes:
-        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
-    def new(self, pieces: list[str]) -> list[bytes]:
-        ids = self.tokenizer.encode("".join(pieces), add_special_tokens=False).ids
-        starts = np.cumsum(self.length[ids]) - self.length[ids]
-        piece_ends = np.cumsum([len(p.encode()) for p in pieces])
-        return _sliced(ids, np.searchsorted(piece_ends, starts, side="right"), len(pieces))
+        self.line = self.whole("\n")
+
+    def between(self) -> bytes:
+        return self.line
+
+    def pieces(self, part: str) -> list[str]:
+        # a single line end between two pieces that are not white space is a token of its own
+        if "\n" in part and len(found := part.split("\n")) == len(part.split()) and all(found):
+            return found
+        return [part]
+
+    def new(self, spaced: list[str], bare: list[str]) -> None:
+        # a line end keeps a piece without a space apart from the one before
+        for known, pieces, lead, skip in ((self.memo, spaced, " ", 0), (self.bare, bare, "\n", len(self.line))):
+            groups = list(grouped(pieces, len, CALL_CHARS))
+            for group, ids in zip(groups, self._ids(["".join([lead + p for p in g]) for g in groups])):
+                starts = np.cumsum(self.length[ids]) - self.length[ids]
+                ends = np.cumsum([len(p.encode()) + 1 for p in group])
+                counts = np.searchsorted(np.searchsorted(ends, starts, side="right"), np.arange(len(group)), side="right") * 4
+                data, at = _packed(ids), 0
+                for piece, end in zip(group, counts.tolist()):
+                    known[piece] = data[at + skip : end]
+                    at = end
 
 
 class Worded(Chunked):
-    """A BPE file with word ends and a lower-casing normaliser; ids are told apart by the
-    character positions that the library reports."""
+    """A BPE file with word ends, which drops white space and upper case; ids of many words encoded in one
+    text are told apart by their ends, those of other pieces by a control character between them, a token
+    of its own between spaces."""
 
-    def __init__(self, name: str) -> None:
-        super().__init__()
-        self.tokenizer = _load(name)
-
-    def whole(self, text: str) -> bytes:
-        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+    APART = "\x01"
+    folds = True
 
-    def new(self, pieces: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode("".join(pieces), add_special_tokens=False)
-        starts = np.array([a for a, _ in encoded.offsets], dtype=np.int64)
-        piece_ends = np.cumsum([len(p) for p in pieces])
-        return _sliced(encoded.ids, np.searchsorted(piece_ends, starts, side="right"), len(pieces))
+    def __init__(self, name: str) -> None:
+        super().__init__(name)
+        (self.apart,) = self.tokenizer.encode(self.APART, add_special_tokens=False).ids
+        names = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.closes = np.zeros(max(names.values()) + 1, dtype=bool)
+        self.closes[[i for piece, i in names.items() if piece.endswith("</w>")]] = True
+
+    def between(self) -> bytes:
+        return b""
+
+    def pieces(self, part: str) -> list[str]:
+        if "\n" in part:
+            return [p.lower() if p.isascii() else p for p in part.split("\n") if p] or [part]
+        return [part.lower() if part.isascii() else part]
+
+    def new(self, spaced: list[str], bare: list[str]) -> None:
+        # white space in front makes no difference
+        todo = [p for p in {*spaced, *bare} if p not in self.memo]
+        self._words([p for p in todo if p.isalpha()])
+        self._mixed([p for p in todo if not p.isalpha()])
+        self.bare.update((p, self.memo[p]) for p in bare)
+
+    def _words(self, pieces: list[str]) -> None:
+        """Pieces of letters only: each is one word, and a word's last id says so."""
+        groups = list(grouped(pieces, len, 2 * CALL_CHARS))
+        for group, ids in zip(groups, self._ids([" ".join(g) for g in groups])):
+            row = np.array(ids, dtype="<u4")
+            data, at, ends = row.tobytes(), 0, (np.flatnonzero(self.closes[row]) + 1) * 4
+            if len(ends) != len(group):  # lower case of some letter is more than letters
+                self._mixed(group)
+                continue
+            for piece, end in zip(group, ends.tolist()):
+                self.memo[piece] = data[at:end]
+                at = end
+
+    def _mixed(self, pieces: list[str]) -> None:
+        groups = list(grouped([p for p in pieces if self.APART not in p], len, CALL_CHARS // 2))
+        for group, ids in zip(groups, self._ids([f" {self.APART} ".join(g) for g in groups])):
+            row = np.array(ids, dtype="<u4")
+            data, at = row.tobytes(), 0
+            for piece, end in zip(group, [*(np.flatnonzero(row == self.apart) * 4).tolist(), len(data)]):
+                self.memo[piece] = data[at:end]
+                at = end + 4
+        self.memo.update((p, self.whole(p)) for p in pieces if self.APART in p)
 
 
 @functools.cache

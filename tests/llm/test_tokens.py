@@ -15,9 +15,7 @@ from barlake.llm import bpe, chunks, packing, planes, wordpiece
 
 
 def library(name: str) -> Tokenizer:
-    tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(public_tokenizers.path(name))
 
 
 def crc(ids) -> int:
@@ -33,7 +31,12 @@ def noise(n: int) -> list[str]:
 @pytest.mark.parametrize("encoder", [chunks.byte_level("byte_bpe_50k.json"), chunks.worded("word_bpe_49k.json")])
 def test_pieces_give_the_ids_of_whole_texts(encoder):
     texts = noise(4000) + ["  a", "a ", "a  b", "a \n \n b", "İ. x", "\x00 a b", "x" * 1000 + " y"]
-    assert encoder.encode(texts) == [encoder.whole(t) for t in texts]
+    texts += ["hello <|endoftext|> x", "<|startoftext|>a b", "a <|endoftext|", "THE The the. THE.\nThe\nthe", "a \x01 b \x01b", "don't\n's 'll.\n\nx", "a\n" + "y" * 900 + "\nB c"]
+    plain = library("byte_bpe_50k.json" if isinstance(encoder, chunks.ByteLevel) else "word_bpe_49k.json")
+    for _ in range(2):  # met before, the second time
+        assert encoder.encode(texts) == [np.array(plain.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+    special = plain.encode("hello <|endoftext|> x", add_special_tokens=False).ids
+    assert plain.token_to_id("<|endoftext|>") in special
 
 
 def test_automaton_pops_greedy_pieces():
