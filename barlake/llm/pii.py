@@ -6,13 +6,14 @@ values stay equal in all documents and different ones stay different:
 * e-mail addresses: the local part, letters to letters and digits to digits;
 * North American phone numbers: area, exchange and line.  A bare number needs a first digit of
   2 to 9 in both of the former; with brackets or ``+1`` any digits count.  First digits of 2 to 9
-  stay so, and 0 and 1 stay 0 or 1; international numbers of 8 to 15 digits after a plus sign: all digits but
-  the first, which starts the country code;
+  stay so, and 0 and 1 stay 0 or 1; international numbers of 8 to 15 digits after a plus sign, with single
+  spaces, dots or hyphens between them or none: all digits but the first, which starts the country code;
 * card numbers of 13 to 19 digits that pass the Luhn test: all between the first digit and the
   check digit, which is worked out again;
 * IBANs that pass the mod-97 test: the account part, with new check digits;
 * social security numbers with valid parts, IPv4 addresses, and calendar dates (Y-m-d, Y/m/d,
-  d.m.Y, m/d/Y): within the valid values; dates within their 400-year calendar cycle;
+  d.m.Y, m/d/Y, and d/m/Y where it is no m/d/Y, also before a ``T`` and a time): within the valid values; dates
+  within their 400-year calendar cycle, those of d/m/Y among the dates that only d/m/Y can be;
 * access keys and assigned secrets (``password=...``): character by character within its class,
   hexadecimal values staying hexadecimal.
 
@@ -23,7 +24,7 @@ multiply to the number of valid values, so that every result is valid at once.
 
 Everything is built-in expressions on one column: no shuffle, no Python.  The key becomes a
 literal of the plan; take it from a secret store and keep plans and event logs accordingly.
-Null texts stay null and empty ones empty; repeated rows give repeated results; extra columns
+Very long texts are one value of one row, as they are in the input.  Null texts stay null and empty ones empty; repeated rows give repeated results; extra columns
 are carried along."""
 
 from __future__ import annotations
@@ -48,13 +49,13 @@ PHONE = (
     r"(?:(?:\+?1[ .-]?)?\([0-9]{3}\) ?[0-9]{3}|\+1[ .-]?[0-9]{3}[ .-][0-9]{3}"
     r"|(?:1[ .-]?)?[2-9][0-9]{2}[ .-][2-9][0-9]{2})[ .-][0-9]{4}(?![0-9A-Za-z])"
 )
-E164 = r"\+[1-9][0-9]{7,14}(?![0-9A-Za-z])"
+E164 = r"\+[1-9](?:[ .-]?[0-9]){7,14}(?![0-9A-Za-z])"
 CARD = r"(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{4}([ -])[0-9]{6}\2[0-9]{5})(?![0-9A-Za-z])"
 SSN = r"(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9A-Za-z-])"
 IPV4 = rf"(?<![0-9]\.){OCTET}(?:\.{OCTET}){{3}}(?![0-9A-Za-z]|\.[0-9])"
 DATE = (
     r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}"
-    r"|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9A-Za-z])"
+    r"|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?:(?=T[0-9])|(?![0-9A-Za-z]))"
 )
 KINDS = {
     "secret": SECRET, "access": ACCESS, "email": EMAIL, "iban": IBAN, "phone": PHONE, "e164": E164, "card": CARD,
@@ -173,7 +174,17 @@ def _phone(m: Column, key: str) -> Column:
 
 
 def _e164(m: Column, key: str) -> Column:
-    return F.concat(F.substring(m, 1, 2), permuted(F.substr(m, F.lit(3), F.length(m)), key, "e164", _digits))
+    digits = F.regexp_replace(m, "[^0-9]", "")
+    moved = F.concat(F.substring(digits, 1, 1), permuted(F.substr(digits, F.lit(2), F.length(digits)), key, "e164", _digits))
+
+    def put(x: Column, c: Column) -> Column:
+        """The next digit in place of a digit; what lies between them stays."""
+        number = c.between("0", "9")
+        digit = F.substr(moved, x["n"] + 1, F.lit(1))
+        return F.struct(F.concat(x["s"], F.when(number, digit).otherwise(c)).alias("s"), (x["n"] + number.cast("int")).alias("n"))
+
+    start = F.struct(F.lit("").alias("s"), F.lit(0).alias("n"))
+    return F.aggregate(F.split(m, ""), start, put, lambda x: x["s"])
 
 
 def luhn_sum(digits: Column, after: int) -> Column:
@@ -239,17 +250,36 @@ def _ipv4(m: Column, key: str) -> Column:
     return F.concat_ws(".", *[p.cast("string") for p in parts])
 
 
+#: Steps of the walk to a date that only d/m/Y can be; each ends it in three of five cases.
+WALK = 64
+
+
+def _moved_date(day: Column, key: str) -> Column:
+    """Another day of the same 400-year cycle."""
+    place = F.pmod(F.datediff(day, F.to_date(F.lit("1601-01-01"))), F.lit(DAYS_A * DAYS_B))
+    pair = permuted_pair(F.floor(place / DAYS_B), place % DAYS_B, DAYS_A, DAYS_B, key, "date")
+    return F.date_add(day, (pair["a"] * DAYS_B + pair["b"] - place).cast("int"))
+
+
+def _known(day: Column) -> Column:
+    return day.isNotNull() & F.year(day).between(1601, 1600 + 2 * YEARS)
+
+
 def _date(m: Column, key: str) -> Column:
     out = m
-    cycle = DAYS_A * DAYS_B
     for shape, form in (("-", "yyyy-MM-dd"), ("^..../", "yyyy/MM/dd"), ("\\.", "dd.MM.yyyy"), ("^../", "MM/dd/yyyy")):
         day = F.try_to_date(m, form)
-        since = F.datediff(day, F.to_date(F.lit("1601-01-01")))
-        place = F.pmod(since, F.lit(cycle))
-        pair = permuted_pair(F.floor(place / DAYS_B), place % DAYS_B, DAYS_A, DAYS_B, key, "date")
-        moved = F.date_add(day, (pair["a"] * DAYS_B + pair["b"] - place).cast("int"))
-        known = day.isNotNull() & F.year(day).between(1601, 1600 + 2 * YEARS)
-        out = F.when(m.rlike(shape), F.when(known, F.date_format(moved, form)).otherwise(m)).otherwise(out)
+        moved = F.when(_known(day), F.date_format(_moved_date(day, key), form)).otherwise(m)
+        if form == "MM/dd/yyyy":
+            # days beyond the twelfth, permuted among themselves: on until one is reached
+            late = F.try_to_date(m, "dd/MM/yyyy")
+            walk = F.aggregate(
+                F.sequence(F.lit(1), F.lit(WALK)), _moved_date(late, key),
+                lambda x, _: F.when(F.dayofmonth(x) > 12, x).otherwise(_moved_date(x, key)),
+            )
+            only = day.isNull() & _known(late)
+            moved = F.when(only, F.date_format(walk, "dd/MM/yyyy")).otherwise(moved)
+        out = F.when(m.rlike(shape), moved).otherwise(out)
     return out
 
 

@@ -23,7 +23,8 @@ fewer than ``LEAST_FIT`` usable documents has no estimate, and the base rules al
 
 Null texts have no words and fail the base rules, as empty ones do; null languages and sources
 are groups of their own; repeated rows count as often as they occur; an empty table gives an
-empty result; extra columns are carried along whatever their names."""
+empty result; texts of any length are read whole, one at a time in a task's memory; extra columns are carried
+along whatever their names."""
 
 from __future__ import annotations
 

@@ -8,9 +8,9 @@ the shards are contiguous in key order and their sizes differ by no more than ab
 document, whatever the sample.
 
 Equal keys are ordered by the place where they were first stored, so a key that occurs very
-often is sampled and subdivided like any other range; equal texts stay together only as far as
-the law of near-equal bytes allows.  A null ``doc_id`` sorts first; a null text has size 1; an
-empty table gives an empty result; only ``doc_id`` and ``text`` are read."""
+often is sampled and subdivided like any other range.  The order is that of ids: equal texts under different ids
+go to different shards, and equal rows stay neighbours.  A null ``doc_id`` sorts first; a null text has size 1; of very long texts
+only size and checksum are taken; an empty table gives an empty result; only ``doc_id`` and ``text`` are read."""
 
 from __future__ import annotations
 

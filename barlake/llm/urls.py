@@ -9,7 +9,7 @@ full-batch gradient steps (one aggregation each) on a small labelled table of UR
 
 DataFrame expressions only.  A null URL, or one without ``://``, has an empty host and path
 and is judged by the bias alone.  Without labelled URLs of both classes everything the rules
-leave open is allowed.  Repeated rows give repeated results, an empty table an empty result;
+leave open is allowed.  URLs of any length are taken whole, and no other text is read.  Repeated rows give repeated results, an empty table an empty result;
 only ``page_id`` and ``url`` are read."""
 
 from __future__ import annotations
@@ -75,12 +75,12 @@ def ruled(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> DataFra
 
 
 def _grams(text: Column, tag: str) -> list[Column]:
-    out = []
-    for n in GRAMS:
+    def of(n: int) -> Column:
         starts = F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - (n - 1)))
-        starts = F.coalesce(starts, F.array().cast("array<int>"))
-        out.append(F.transform(starts, lambda i, n=n: F.concat(F.lit(tag), F.substr(text, i, F.lit(n)))))
-    return out
+        # a function of one argument: a second one would be the place in the array
+        return F.transform(F.coalesce(starts, F.array().cast("array<int>")), lambda i: F.concat(F.lit(tag), F.substr(text, i, F.lit(n))))
+
+    return [of(n) for n in GRAMS]
 
 
 def features() -> Column:
