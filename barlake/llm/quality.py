@@ -13,7 +13,7 @@ on the labelled documents of the small tables: floors of about the spread of eac
 a tail far in the gap between the largest distance of a good one and the least of a bad one.
 
 A step is one aggregation: moments by group and distance bin, added up from the nearest bin
-until half the group is covered; the last bin, a small part of a hundredth of the group, enters with the share
+until half the group is covered; the last bin, a few hundredths of the group at most, enters with the share
 that makes it half.  Nothing but one row per group and bin is gathered, so a group
 that holds a third of all documents costs no more than any other, and nothing passes through
 the driver.  Groups of fewer than ``LEAST_GROUP`` documents that pass the base rules are
@@ -47,7 +47,7 @@ TAIL = 1e-9
 LEAST_GROUP = 50
 LEAST_FIT = 30
 STEPS = 12
-BINS_PER_OCTAVE = 128
+BINS_PER_OCTAVE = 32
 #: Shares of a group, nearest to its medians, that the steps start from.
 STARTS = (0.5, 0.25, 1.0)
 
