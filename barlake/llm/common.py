@@ -78,6 +78,19 @@ def join_named(rows: DataFrame, named: DataFrame, key: str, total: int) -> DataF
     return rows.join(often, key).unionByName(rest)
 
 
+def numbered_in(rows: DataFrame, chosen: DataFrame, number: str) -> DataFrame:
+    """The ``rows`` whose ``number`` is among the ``chosen``; numbers are those of ``monotonically_increasing_id``.
+
+    One bit for each place of a partition is broadcast, in bitmaps of 4 KB, so the rows are not shuffled."""
+    bucket = F.bitmap_bucket_number(number).alias("bucket")
+    dealt = chosen.select(number, bucket).repartition("bucket")  # each bitmap is built by one task
+    bits = dealt.groupBy("bucket").agg(F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bits"))
+    place = F.bitmap_bit_position(number)
+    byte = F.conv(F.hex(F.substring("bits", F.shiftright(place, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = byte.bitwiseAND(F.expr(f"shiftleft(1, CAST(bitmap_bit_position({number}) % 8 AS INT))")) != 0
+    return rows.withColumn("bucket", bucket).join(F.broadcast(bits), "bucket").filter(bit).select(*rows.columns)
+
+
 def numbered(rows: DataFrame, *order: Column) -> DataFrame:
     """``rows`` as a saved table with ``number``, 0, 1, 2... in ``order``: sorted in ranges, each
     range's numbers starting where those of the ranges before it end."""

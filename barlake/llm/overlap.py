@@ -6,6 +6,8 @@ are each named by ``ROWS`` minima over the set, so sets with Jaccard similarity
 bucket with probability 1 - (1 - s**ROWS)**BANDS: 0.99994 at 0.8, more above.  Sharing a bucket
 proves nothing: a link is confirmed by the Jaccard similarity of the whole sets.
 
+What SimHash fingerprints of the sets have found before (see ``simhash.close``) comes first, checked in the same way.
+
 Large groups of near copies are never compared pair by pair (see :func:`groups`): members that
 one member ties together need no links of their own, and the others meet only in shingles that are
 rare among them.
@@ -58,18 +60,20 @@ def buckets(found: np.ndarray) -> np.ndarray:
     return np.array(named, dtype=np.uint64).astype(np.int64)
 
 
-def profiles(text: Column, width: int = WIDTH) -> Column:
-    """Struct of ``fp``, a digest that texts with equal sets share, and the names of the buckets."""
+def profiles(text: Column, fingerprint, width: int = WIDTH) -> Column:
+    """Struct of ``fp``, a digest that texts with equal sets share, ``sim``, the ``fingerprint`` of the set, and the
+    names of the buckets."""
 
-    @F.pandas_udf("fp long, buckets array<long>")
+    @F.pandas_udf("fp long, sim long, buckets array<long>")
     def run(texts: pd.Series) -> pd.DataFrame:
         import xxhash
 
         rows = []
         for text in texts:
             found = shingles(text, width)
-            rows.append((np.uint64(xxhash.xxh64_intdigest(found.tobytes(), SEED)).astype(np.int64), buckets(found)))
-        return pd.DataFrame(rows, columns=["fp", "buckets"])
+            fp, sim = (np.uint64(x).astype(np.int64) for x in (xxhash.xxh64_intdigest(found.tobytes(), SEED), fingerprint(found)))
+            rows.append((fp, sim, buckets(found)))
+        return pd.DataFrame(rows, columns=["fp", "sim", "buckets"])
 
     return run(F.coalesce(text.cast("string"), F.lit("")))
 
@@ -108,18 +112,23 @@ def _tied(rows: DataFrame, pairs: DataFrame, sets: DataFrame, roots, least: int)
     return rows.join(tied, "label", "left").withColumn("label", F.coalesce("root", "label")).drop("root")
 
 
-def groups(found: DataFrame, sets: DataFrame, roots, least: int = LEAST) -> DataFrame:
-    """fp and label of the members of ``found`` (see :func:`members`): members have one label exactly where
-    confirmed links connect them.
+def groups(found: DataFrame, sets: DataFrame, roots, least: int = LEAST, first: DataFrame | None = None) -> DataFrame:
+    """fp and label of all ``sets``, those of the members of ``found`` (see :func:`members`) among them: they have one label
+    exactly where confirmed links connect them.
 
+    Pairs (u, v) of ``first`` are checked before all others.
     A bucket is compared with one of its members, a row a member; with that which shares most
     buckets first, as the text that others are edited from does, then with any.  Buckets of one label are
     finished.  Turns go on while each halves what is left; the rest is compared by :func:`_by_rare_shingles`."""
     weight = found.groupBy("fp").agg(F.sum("n").alias("weight"))
     sized = sets.select("fp", F.size("set").alias("size"))
-    rows = found.join(weight, "fp").join(sized, "fp").withColumn("label", F.col("fp"))
+    labels = sets.select("fp", F.col("fp").alias("label"))
+    if first is not None:
+        pairs = first.select(F.col("u").alias("fp"), F.col("u").alias("label"), F.col("v").alias("other_fp"), F.col("v").alias("other_label"))
+        labels = _tied(labels, pairs, sets, roots, least)
+    labels = saved(labels, "labels")
+    rows = found.join(weight, "fp").join(sized, "fp").join(labels, "fp")
     rows = saved(rows.select("bucket", "fp", "n", "size", "weight", "label"), "members")
-    labels = saved(rows.select("fp", "label").distinct(), "labels")
     fits = 100 * F.least("size", "other_size") >= least * F.greatest("size", "other_size")
     left, turn = rows.count(), 0
     while left:

@@ -4,8 +4,8 @@ A fingerprint has 64 bits; a bit is set where more than half of the XXH64 hashes
 the document's word shingles have it, repeats included.  Two fingerprints link when they
 differ in at most ``BUDGET`` = 2 bits; the components of the links are the groups.
 
-The join works on distinct fingerprints, so copies never meet.  Of four 16-bit blocks at least
-two are the same in linked fingerprints, so six binary tries are walked, one for each pair of
+The join works on distinct fingerprints, so copies never meet.  Of four 16-bit blocks (with another
+budget of two more blocks than bits) at least two are the same in linked fingerprints, so six binary tries are walked, one for each pair of
 leading blocks, from the nodes at depth 32 where no difference has been spent yet.  From there
 node pairs are traversed together: each step takes the two children of both nodes, adds up
 differing bits, and drops a pair when the budget is exceeded.  A node with more than
@@ -30,18 +30,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barlake.llm import overlap
-from barlake.llm.common import on_workers, saved, text_or_empty
+from barlake.llm.common import join_named, numbered_in, on_workers, saved
 
 SEED = 42
 SHINGLE = 3
 BUDGET = 2
-BLOCK_BITS = 16
+#: Differing bits of the fingerprints that the pipeline's stage takes first.
+CLOSE = 3
 #: Fingerprints of a unit of work; larger ones are split further.
 HEAVY = 4096
 STEP_BITS = 8
 BATCH = 1 << 17
 
 
+def majority(hashes: np.ndarray) -> int:
+    """Unsigned number of the bits that over half of the 64-bit hashes have; zero without any."""
+    counts = np.zeros(64, dtype=np.int64)
+    for at in range(0, len(hashes), 1 << 15):
+        part = hashes[at : at + (1 << 15)].astype(">u8")
+        counts += np.unpackbits(part.view(np.uint8)).reshape(len(part), 64).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * counts > len(hashes)).tobytes(), "big")
+
+
 def fingerprint(text: str, size: int = SHINGLE) -> int:
     """Unsigned 64-bit fingerprint of a whole text."""
     import xxhash
@@ -55,12 +65,8 @@ def fingerprint(text: str, size: int = SHINGLE) -> int:
     digest = xxhash.xxh64_intdigest
     if len(words) <= size:
         return digest(data, SEED)
-    hashes = np.array([digest(data[a : b - 1], SEED) for a, b in zip(starts, ends[size - 1 :])], dtype=">u8")
-    counts = np.zeros(64, dtype=np.int64)
-    for at in range(0, len(hashes), 1 << 15):
-        part = hashes[at : at + (1 << 15)]
-        counts += np.unpackbits(part.view(np.uint8)).reshape(len(part), 64).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * counts > len(hashes)).tobytes(), "big")
+    hashes = np.array([digest(data[a : b - 1], SEED) for a, b in zip(starts, ends[size - 1 :])], dtype=np.uint64)
+    return majority(hashes)
 
 
 def fingerprints(text: Column) -> Column:
@@ -148,7 +154,7 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
-def _edges(rows: pd.DataFrame) -> pd.DataFrame:
+def _edges(rows: pd.DataFrame, budget: int) -> pd.DataFrame:
     """Spanning edges of whole units; rows: trie, a, b, depth, key, fp."""
     key = rows["key"].to_numpy().view(np.uint64)
     depth = rows["depth"].to_numpy()
@@ -163,13 +169,13 @@ def _edges(rows: pd.DataFrame) -> pd.DataFrame:
     split = hi - np.add.reduceat(side.astype(np.int64), lo)
     alone = rows["a"].to_numpy()[order][lo] != rows["b"].to_numpy()[order][lo]
     use = ~alone | ((split > lo) & (split < hi))
-    a, b = trie_links(key, lo[use], hi[use], split[use], depth[lo][use])
+    a, b = trie_links(key, lo[use], hi[use], split[use], depth[lo][use], budget)
     root = forest(len(key), a, b)
     tied = np.flatnonzero(root != np.arange(len(key)))
     return pd.DataFrame({"u": fp[tied], "v": fp[root[tied]]})
 
 
-def _walk(batches):
+def _walk(batches, budget: int):
     """Edges of a partition's units, some units at a time; rows come sorted by unit."""
     held = None
     names = ["trie", "depth", "a", "b"]
@@ -179,47 +185,58 @@ def _walk(batches):
             continue
         last = (held[names] == held[names].iloc[-1]).all(axis=1).to_numpy()
         if not last.all():
-            yield _edges(held[~last].reset_index(drop=True))
+            yield _edges(held[~last].reset_index(drop=True), budget)
             held = held[last].reset_index(drop=True)
     if held is not None and len(held):
-        yield _edges(held)
+        yield _edges(held, budget)
 
 
 def _masks(bits: int, most: int) -> list[int]:
     return [sum(1 << i for i in c) for k in range(most + 1) for c in combinations(range(bits), k)]
 
 
-def links(fps: DataFrame, heavy: int = HEAVY) -> DataFrame:
-    """Edges (u, v) that connect exactly the distinct fingerprints ``fp`` connected by links."""
-    blocks = [F.shiftrightunsigned("fp", 48 - BLOCK_BITS * i).bitwiseAND(0xFFFF) for i in range(4)]
+def links(fps: DataFrame, heavy: int = HEAVY, budget: int = BUDGET) -> DataFrame:
+    """Edges (u, v) that connect exactly the distinct fingerprints ``fp`` connected by links of ``budget`` bits.
+
+    Of ``budget`` + 2 blocks two at least are the same in linked fingerprints."""
+    size, more = divmod(64, budget + 2)
+    widths = [size + (i < more) for i in range(budget + 2)]
+    ends = np.cumsum(widths).tolist()
+    blocks = [F.shiftrightunsigned("fp", 64 - end).bitwiseAND((1 << w) - 1) for w, end in zip(widths, ends)]
     keys = []
-    for trie, lead in enumerate(combinations(range(4), 2)):
-        order = [*lead, *(i for i in range(4) if i not in lead)]
-        parts = [F.shiftleft(blocks[i], 48 - BLOCK_BITS * n) for n, i in enumerate(order)]
-        key = parts[0].bitwiseOR(parts[1]).bitwiseOR(parts[2]).bitwiseOR(parts[3])
-        keys.append(F.struct(F.lit(trie).alias("trie"), key.alias("key")))
+    for trie, lead in enumerate(combinations(range(len(widths)), 2)):
+        key, placed = F.lit(0).cast("long"), 0
+        for i in [*lead, *(i for i in range(len(widths)) if i not in lead)]:
+            placed += widths[i]
+            key = key.bitwiseOR(F.shiftleft(blocks[i], 64 - placed))
+        depth = sum(widths[i] for i in lead)
+        first = F.shiftrightunsigned(key, 64 - depth)
+        keys.append(F.struct(F.lit(trie).alias("trie"), F.lit(depth).alias("depth"), first.alias("a"), key.alias("key")))
     unit = ["trie", "depth", "a", "b"]
-    rows = fps.select("fp", F.explode(F.array(*keys)).alias("k")).select("fp", "k.trie", "k.key")
-    lead = F.shiftrightunsigned("key", 32)
-    rows = saved(rows.select("trie", F.lit(32).alias("depth"), lead.alias("a"), lead.alias("b"), "key", "fp"), "tries")
+    rows = fps.select("fp", F.explode(F.array(*keys)).alias("k"))
+    rows = saved(rows.select("k.trie", "k.depth", "k.a", F.col("k.a").alias("b"), "k.key", "fp"), "tries")
+
+    def walk(batches):
+        return _walk(batches, budget)
+
     edges = None
     while True:
         sizes = saved(rows.groupBy(*unit).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "units")
         small = rows.join(sizes.filter(F.col("n") <= heavy).select(*unit), unit, "left_semi")
         tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         small = small.repartition(tasks, *unit).sortWithinPartitions(*unit)
-        found = saved(small.mapInPandas(_walk, "u long, v long"), "links")
+        found = saved(small.mapInPandas(walk, "u long, v long"), "links")
         edges = found if edges is None else edges.unionByName(found)
         large = sizes.filter(F.col("n") > heavy)
         if large.isEmpty():
             return edges.distinct()
-        rows = saved(_descend(rows.join(large.select(*unit), unit, "left_semi")), "tries")
+        rows = saved(_descend(rows.join(large.select(*unit), unit, "left_semi"), budget), "tries")
 
 
-def _descend(rows: DataFrame) -> DataFrame:
+def _descend(rows: DataFrame, budget: int) -> DataFrame:
     """The members of heavy units, as members of their node pairs ``STEP_BITS`` further down."""
-    room = F.lit(BUDGET) - F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    masks = F.array(*[F.lit(m).cast("long") for m in _masks(STEP_BITS, BUDGET)])
+    room = F.lit(budget) - F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
+    masks = F.array(*[F.lit(m).cast("long") for m in _masks(STEP_BITS, budget)])
     mask = F.explode(F.filter(masks, lambda m: F.bit_count(m) <= room)).alias("mask")
     # shifts by a column, not a constant
     mine = F.expr(f"shiftrightunsigned(key, 64 - depth - {STEP_BITS})")
@@ -283,29 +300,44 @@ def near_duplicates(docs: DataFrame, heavy: int = HEAVY) -> DataFrame:
     return rows.join(found, "fp").select("doc_id", digits.alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, width: int = overlap.WIDTH, least: int = overlap.LEAST) -> DataFrame:
+def close(each: DataFrame, budget: int = CLOSE, heavy: int = HEAVY) -> DataFrame:
+    """Pairs (u, v) of ``fp`` whose fingerprints ``sim`` connect all that differ in at most ``budget`` bits.
+
+    Those of one fingerprint are paired with the least of them, and these by :func:`links`."""
+    heads = saved(each.groupBy("sim").agg(F.min("fp").alias("head"), F.count(F.lit(1)).alias("n")), "heads")
+    same = join_named(each.select("fp", "sim"), heads.filter("n > 1"), "sim", each.count())
+    same = same.filter("fp <> head").select(F.col("fp").alias("u"), F.col("head").alias("v"))
+    edges = links(heads.select(F.col("sim").alias("fp")), heavy, budget).withColumnsRenamed({"u": "a", "v": "b"})
+    u, v = (heads.select(F.col("sim").alias(key), F.col("head").alias(name)) for key, name in (("a", "u"), ("b", "v")))
+    return same.unionByName(edges.join(u, "a").join(v, "b").select("u", "v"))
+
+
+def one_of_each(docs: DataFrame, width: int = overlap.WIDTH, least: int = overlap.LEAST, budget: int = CLOSE) -> DataFrame:
     """The documents, all columns, with one row of every group: that of the smallest ``doc_id``,
     of several the first one stored.
 
-    Not the groups of ``near_duplicates``: documents link when their sets of ``width``-word
-    shingles have Jaccard similarity of at least ``least`` percent (see ``overlap``), which no
-    budget of differing bits says exactly."""
+    Documents link when their sets of ``width``-word shingles have Jaccard similarity of at least
+    ``least`` percent.  Sets whose SimHash fingerprints differ in at most ``budget`` bits are found by the
+    trie self-join and checked first, and what they tie together is one member from then on.  No budget of bits that a
+    trie can be walked with reaches all sets of that similarity, so the others follow by MinHash buckets (see ``overlap``)."""
     on_workers(docs.sparkSession)
     rows = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("row"),
         F.monotonically_increasing_id().alias("uid"),
-        overlap.profiles(docs["text"], width).alias("p"),
+        overlap.profiles(docs["text"], majority, width).alias("p"),
     )
-    rows = saved(rows.select("row", "uid", "p.fp", "p.buckets"), "shingled")
+    rows = saved(rows.select("row", "uid", "p.fp", "p.sim", "p.buckets"), "shingled")
     first = F.struct(F.col("row.doc_id").isNull().alias("none"), F.col("row.doc_id").alias("id"), "uid")
-    each = rows.groupBy("fp").agg(F.min(first).alias("rep"), F.any_value("buckets").alias("buckets"))
+    each = rows.groupBy("fp").agg(F.min(first).alias("rep"), F.any_value("sim").alias("sim"), F.any_value("buckets").alias("buckets"))
+    each = saved(each, "distinct")
+    pairs = saved(close(each, budget), "close")
     found = overlap.members(each)
-    each = saved(each.select("fp", "rep"), "distinct")
-    # whole sets of those only that share a bucket, from the text of one row each
-    chosen = each.join(found.select("fp").distinct(), "fp", "left_semi").select("fp", F.col("rep.uid").alias("uid"))
-    texts = rows.select("uid", F.col("row.text").alias("text")).join(chosen, "uid")
-    sets = saved(texts.select("fp", overlap.shingle_sets(F.col("text"), width).alias("set")), "sets")
-    tied = overlap.groups(found, sets, roots, least)
-    known = each.join(tied, "fp", "left").select("rep", F.coalesce("label", "fp").alias("root"))
+    # whole sets of those only that share a bucket or are close, from the text of one row each
+    named = found.select("fp").unionByName(pairs.select(F.explode(F.array("u", "v")).alias("fp"))).distinct()
+    chosen = each.join(named, "fp", "left_semi").select(F.col("rep.uid").alias("uid"))
+    texts = numbered_in(rows, chosen, "uid")
+    sets = saved(texts.select("fp", overlap.shingle_sets(F.col("row.text"), width).alias("set")), "sets")
+    tied = overlap.groups(found, sets, roots, least, pairs)
+    known = each.select("fp", "rep").join(tied, "fp", "left").select("rep", F.coalesce("label", "fp").alias("root"))
     kept = known.groupBy("root").agg(F.min("rep").alias("rep")).select(F.col("rep.uid").alias("uid"))
-    return rows.join(kept, "uid", "left_semi").select("row.*")
+    return numbered_in(rows, kept, "uid").select("row.*")
