@@ -61,6 +61,10 @@ class Chunked:
         """Ids of one text in one go."""
         return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
+    def parts(self, text: str) -> list[str] | None:
+        """What lies between the text's spaces, or None if it goes in one go."""
+        return None if any(s in text for s in self.special) else cut(text)
+
     def pieces(self, part: str) -> list[str]:
         """What a part with a space in front consists of; pieces after the first have none in front."""
         raise NotImplementedError
@@ -87,29 +91,28 @@ class Chunked:
             self.memo[""] = self.whole(" ")
             self.bare[""] = b""
         memo, bare = self.memo, self.bare
-        # per text its ids by part, and the parts still to come; known parts are let go at once
-        rows: list[tuple[list[bytes | None], list[tuple[int, str]]]] = []
+        # per text what is in front of its first space, and the parts behind
+        rows: list[tuple[str, list[str] | None]] = []
         fresh: set[str] = set()
         for text in texts:
-            parts = None if any(s in text for s in self.special) else cut(text)
+            parts = self.parts(text)
             if parts is None:
-                rows.append(([self.whole(text)], []))
+                rows.append((text, None))
                 continue
-            ids = list(map(memo.get, parts))
-            ids[0] = bare.get(parts[0])
-            if ids[0] is None:
-                ids[0] = self.whole(parts[0])
-                if len(parts[0]) <= LONG:
-                    bare[parts[0]] = ids[0]
-            gaps = [(i, parts[i]) for i, known in enumerate(ids) if known is None] if None in ids else []
-            fresh.update([part for _, part in gaps])
-            rows.append((ids, gaps))
+            first = parts.pop(0)
+            if first not in bare and len(first) <= LONG:
+                bare[first] = self.whole(first)
+            fresh.update(parts)
+            rows.append((first, parts))
+        fresh = fresh.difference(memo)
         self._learn(fresh)
-        out = []
-        for ids, gaps in rows:
-            for i, part in gaps:
-                ids[i] = memo[part]
-            out.append(b"".join(ids))
+        known, out = memo.__getitem__, []
+        for first, parts in rows:
+            if parts is None:
+                out.append(self.whole(first))
+            else:
+                ids = bare[first] if len(first) <= LONG else self.whole(first)
+                out.append(ids + b"".join(map(known, parts)))
         for p in fresh:
             if len(p) > LONG:
                 del memo[p]
@@ -220,6 +223,20 @@ class Worded(Chunked):
     def between(self) -> bytes:
         return b""
 
+    def parts(self, text: str) -> list[str] | None:
+        # a special token may come about by lower case, which the library does not look for
+        low = text.lower()
+        if any(s in text or s in low for s in self.special):
+            return None
+        if text.isascii():
+            text = low
+        # line ends and runs of spaces are dropped like one space
+        if "\n" in text:
+            text = text.replace("\n", " ")
+        while "  " in text:
+            text = text.replace("  ", " ")
+        return cut(text)
+
     def pieces(self, part: str) -> list[str]:
         if "\n" in part:
             return [p.lower() if p.isascii() else p for p in part.split("\n") if p] or [part]

@@ -143,3 +143,10 @@ def test_files_give_back_all_ids_in_order(spark, odd_docs, no_docs, tmp_path):
     assert whole[5] == [*tokenizer.encode("one two").ids, planes.END]
     planes.write(no_docs, str(tmp_path / "b"))
     assert planes.digests(spark, str(tmp_path / "b")).count() == 0
+
+
+@pytest.mark.parametrize("make", [lambda: chunks.worded(packing.TOKENIZER), lambda: chunks.byte_level(planes.TOKENIZER)])
+def test_special_tokens_in_upper_case_and_runs_of_white_space(make):
+    encoder = make()
+    texts = ["a <|ENDOFTEXT|> b", "É <|EndOfText|> b", "a <|endoftext|>", "A \n\n  b,\nC", " \n a", "a\t \tb  c", "", "\n", "é\ńx ́y"]
+    assert encoder.encode(texts) == [encoder.whole(t) for t in texts]
