@@ -82,6 +82,8 @@ def calendar_align(bars: DataFrame, open_days: DataFrame) -> DataFrame:
     Each bar brings the days up to the next bar of its instrument along, and the days
     that are not open are filtered out again.  So there is one shuffle by instrument,
     which the later windows reuse, and no join between spans and calendar."""
+    # bars are few bytes before they are spread: adaptive execution would join too many of them in one task
+    bars = bars.repartition(int(bars.sparkSession.conf.get("spark.sql.shuffle.partitions")), "ts_code")
     calendar = open_days.select(F.col("trade_date").alias("cal_day")).distinct().withColumn("cal_open", F.lit(True))
     payload = [c for c in bars.columns if c not in ("ts_code", "trade_date", "flag_aligned")]
     following = F.lead("trade_date").over(by_day())

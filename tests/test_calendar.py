@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from barlake.operators.calendar import calendar_align
 from barlake.operators import calendar, lookups
 
 
@@ -36,3 +37,12 @@ def test_recent_days(frame):
     cal = frame("trade_date DATE, is_open INT", [(f"2026-01-{x:02d}", x % 2) for x in range(1, 21)])
     got = [r[0].day for r in lookups.recent_trade_dates(cal, "2026-01-16", 3).collect()]
     assert got == [15, 13, 11]
+
+
+def test_spread_bars_are_not_joined_in_few_tasks(frame, spark):
+    rows = [(f"c{i}", day, 1.0) for i in range(40) for day in ("2024-01-02", "2024-06-03")]
+    bars = frame("ts_code STRING, trade_date DATE, close DOUBLE", rows)
+    days = frame("trade_date DATE", [("2024-01-02",), ("2024-03-05",), ("2024-06-03",)])
+    found = calendar_align(bars, days)
+    assert found.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert found.count() == 120
