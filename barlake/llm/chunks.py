@@ -3,15 +3,17 @@
 Both families of tokenizers used here end a token before a single space that follows other
 text, so a text can be cut before its spaces and the pieces encoded on their own.  Pieces
 repeat, so each worker keeps the ids of those it has met; only new ones reach the tokenizer,
-many at a time.  A new piece is cut further where the tokenizer ends a token anyway: at line ends and before a
-mark at its end, and where upper case makes no difference it is looked up in lower case.  The memo
-is emptied when it holds ``MEMO`` pieces, so memory is bounded; that changes speed only, never ids.
+many at a time.  Texts are cut before line ends too, where these are tokens of their own, so that the last word
+of a line and the first of the next are not a piece that never comes again.  A new piece is cut further where the
+tokenizer ends a token anyway, before a mark at its end, and where upper case makes no difference it is looked up in
+lower case.  The memo is emptied when it holds ``held`` pieces, so memory is bounded; that changes speed only, never ids.
 
 A text that holds the string of a special token is encoded whole, as the library does it."""
 
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 import re
 
@@ -23,23 +25,41 @@ MEMO = 700_000
 #: Pieces longer than this are encoded every time, so that the memo stays small.
 LONG = 256
 #: Characters of texts that are looked up together.
-TEXT_CHARS = 1 << 18
+TEXT_CHARS = 1 << 16
 #: Characters of new pieces in one text for the library, which is slower on long ones, and texts in one call.
 CALL_CHARS, CALL_TEXTS = 1024, 64
 #: A space within a longer run of white space: the run is one unit of the tokenizers.
 _RUN = re.compile(r"\s \s")
 _HALF_RUN = re.compile(r" \s")
 
+#: A line end within a longer run of white space, or the last of a run that ends the text.
+_LINE_RUN = re.compile(r"\n(?<=\s\n)(?!\S)")
+
 #: Punctuation that is a unit of its own at the end of a piece, after a letter.
 _ENDS = ",.;:!?"
 
 
+def uncut(text: str) -> bool:
+    """Whether a space has white space next to it on both sides; such a text is encoded in one go."""
+    return "  " in text or bool(_HALF_RUN.search(text) and _RUN.search(text))
+
+
 def cut(text: str) -> list[str] | None:
     """What lies between the text's spaces; a piece is a part and, but for the first, the space
-    before it.  None where a space has white space next to it on both sides; such a text is encoded in one go."""
-    if "  " in text or (_HALF_RUN.search(text) and _RUN.search(text)):
-        return None
-    return text.split(" ")
+    before it.  None for a text that is encoded in one go."""
+    return None if uncut(text) else text.split(" ")
+
+
+class Memo(dict):
+    """Ids of parts.  A part that is not there gets a place among the ``fresh``, so that a text is looked up once;
+    the places are filled when all that is new in a group of texts is encoded."""
+
+    def __init__(self) -> None:
+        self.fresh: dict[str, bytearray] = {}
+
+    def __missing__(self, part: str) -> bytearray:
+        ids = self[part] = self.fresh[part] = bytearray()
+        return ids
 
 
 class Chunked:
@@ -47,36 +67,31 @@ class Chunked:
 
     #: Whether upper case makes no difference.
     folds = False
+    #: Pieces in the memo at most.
+    held = MEMO
 
     def __init__(self, name: str) -> None:
         self.tokenizer = _load(name)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        #: Ids of a space and the part that is the key.
-        self.memo: dict[str, bytes] = {}
+        #: Ids of a space and the part that is the key; a part that starts with a line end or a space has no other in front.
+        self.memo = Memo()
         #: Ids of parts with no space in front.
         self.bare: dict[str, bytes] = {}
         self.ends = {mark: self.whole(mark) for mark in _ENDS}
+        self.line = self.whole("\n")
 
     def whole(self, text: str) -> bytes:
         """Ids of one text in one go."""
         return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def parts(self, text: str) -> list[str] | None:
-        """What lies between the text's spaces, or None if it goes in one go."""
-        return None if any(s in text for s in self.special) else cut(text)
-
-    def pieces(self, part: str) -> list[str]:
-        """What a part with a space in front consists of; pieces after the first have none in front."""
+        """What is in front of the text's first space and the parts behind, or None if it goes in one go."""
         raise NotImplementedError
 
     def new(self, spaced: list[str], bare: list[str]) -> None:
         """Encodes pieces into ``memo`` and ``bare``."""
         raise NotImplementedError
 
-    def between(self) -> bytes:
-        """Ids between two pieces of a part."""
-        raise NotImplementedError
-
     def _ids(self, texts: list[str]) -> list[list[int]]:
         out = []
         for at in range(0, len(texts), CALL_TEXTS):
@@ -84,68 +99,60 @@ class Chunked:
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.memo) + len(self.bare) > MEMO:
+        if self.memo.fresh or len(self.memo) + len(self.bare) > self.held:  # places that an error left empty go too
+            self.memo.fresh.clear()
             self.memo.clear()
             self.bare.clear()
         if not self.memo:
             self.memo[""] = self.whole(" ")
             self.bare[""] = b""
         memo, bare = self.memo, self.bare
-        # per text what is in front of its first space, and the parts behind
-        rows: list[tuple[str, list[str] | None]] = []
-        fresh: set[str] = set()
+        known, rows = memo.__getitem__, []
         for text in texts:
             parts = self.parts(text)
             if parts is None:
-                rows.append((text, None))
+                rows.append([self.whole(text)])
                 continue
             first = parts.pop(0)
-            if first not in bare and len(first) <= LONG:
-                bare[first] = self.whole(first)
-            fresh.update(parts)
-            rows.append((first, parts))
-        fresh = fresh.difference(memo)
-        self._learn(fresh)
-        known, out = memo.__getitem__, []
-        for first, parts in rows:
-            if parts is None:
-                out.append(self.whole(first))
-            else:
-                ids = bare[first] if len(first) <= LONG else self.whole(first)
-                out.append(ids + b"".join(map(known, parts)))
-        for p in fresh:
-            if len(p) > LONG:
-                del memo[p]
-        return out
-
-    def _learn(self, fresh: set[str]) -> None:
+            row = [bare.get(first) or self.whole(first)]
+            if len(first) <= LONG:
+                bare[first] = row[0]
+            row += map(known, parts)
+            rows.append(row)
+        self._learn(memo.fresh)
+        for part, place in memo.fresh.items():
+            place += memo[part]
+            if len(part) > LONG:
+                del memo[part]
+        memo.fresh.clear()
+        return list(map(b"".join, rows))
+
+    def _learn(self, fresh: dict[str, bytearray]) -> None:
         """Ids of new parts into the memo: those of their stems, encoded if they are new, and of what follows these."""
         memo, bare, ends, folds = self.memo, self.bare, self.ends, self.folds
         spaced: set[str] = set()
-        composed, cut_up = [], []
+        composed, lines = [], []
         for part in fresh:
-            if "\n" in part:
-                cut_up.append((part, [_stem(piece) for piece in self.pieces(part)]))
+            if part[0] in "\n ":
+                if part[0] == "\n" and len(part) > 1 and not (part[1].isspace() or part[-1].isspace()):
+                    lines.append((part, *_stem(part[1:])))
+                else:
+                    memo[part] = self.whole(part)
                 continue
             stem, mark = _stem(part) if part[-1] in ends else (part, "")
             if folds and stem.isascii():
                 stem = stem.lower()
-            if stem not in memo:
+            if stem in fresh or stem not in memo:
                 spaced.add(stem)
             if stem is not part:
                 composed.append((part, stem, mark))
-        spaced.update(c[0][0] for _, c in cut_up if c[0][0] not in memo)
-        others = {stem for _, c in cut_up for stem, _ in c[1:]}.difference(bare)
+        others = {stem for _, stem, _ in lines}.difference(bare)
         self.new(list(spaced), list(others))
         for part, stem, mark in composed:
             memo[part] = memo[stem] + ends[mark] if mark else memo[stem]
-        joint = self.between()
-        for part, ((stem, mark), *rest) in cut_up:
-            ids = memo[stem] + ends[mark] if mark else memo[stem]
-            for stem, mark in rest:
-                ids += joint + bare[stem] + (ends[mark] if mark else b"")
-            memo[part] = ids
-        for p in (spaced | others) - fresh:
+        for part, stem, mark in lines:
+            memo[part] = self.line + bare[stem] + (ends[mark] if mark else b"")
+        for p in (spaced | others) - fresh.keys():
             if len(p) > LONG:
                 memo.pop(p, None)
                 bare.pop(p, None)
@@ -174,35 +181,39 @@ class ByteLevel(Chunked):
     """A byte-level BPE file of the tokenizers library: every id stands for certain bytes, so
     the ids of many pieces encoded in one text are told apart by adding up byte lengths."""
 
+    #: Upper case is kept, so there are more.
+    held = 3 * MEMO
+
     def __init__(self, name: str) -> None:
         super().__init__(name)
         names = self.tokenizer.get_vocab(with_added_tokens=True)
         self.length = np.zeros(max(names.values()) + 1, dtype=np.int64)
         for piece, i in names.items():
             self.length[i] = len(piece)  # one character of a piece stands for one byte
-        self.line = self.whole("\n")
-
-    def between(self) -> bytes:
-        return self.line
 
-    def pieces(self, part: str) -> list[str]:
-        # a single line end between two pieces that are not white space is a token of its own
-        if "\n" in part and len(found := part.split("\n")) == len(part.split()) and all(found):
-            return found
-        return [part]
+    def parts(self, text: str) -> list[str] | None:
+        if any(s in text for s in self.special) or uncut(text):
+            return None
+        if "\n" not in text:
+            return text.split(" ")
+        # a line end that is not within or at the end of such a run starts a token
+        if _LINE_RUN.search(text):
+            first, *rest = text.split(" ")
+            return [first, *[f" {part}" if part[:1] == "\n" else part for part in rest]]
+        return text.replace("\n", " \n").split(" ")
 
     def new(self, spaced: list[str], bare: list[str]) -> None:
         # a line end keeps a piece without a space apart from the one before
         for known, pieces, lead, skip in ((self.memo, spaced, " ", 0), (self.bare, bare, "\n", len(self.line))):
-            groups = list(grouped(pieces, len, CALL_CHARS))
-            for group, ids in zip(groups, self._ids(["".join([lead + p for p in g]) for g in groups])):
-                starts = np.cumsum(self.length[ids]) - self.length[ids]
-                ends = np.cumsum([len(p.encode()) + 1 for p in group])
-                counts = np.searchsorted(np.searchsorted(ends, starts, side="right"), np.arange(len(group)), side="right") * 4
-                data, at = _packed(ids), 0
-                for piece, end in zip(group, counts.tolist()):
-                    known[piece] = data[at + skip : end]
-                    at = end
+            ids = self._ids([lead + lead.join(group) for group in grouped(pieces, len, CALL_CHARS)])
+            # no id spans two pieces
+            row = np.fromiter(itertools.chain.from_iterable(ids), dtype="<u4")
+            starts = np.cumsum(self.length[row]) - self.length[row]
+            ends = np.searchsorted(starts, np.cumsum([len(p.encode()) + 1 for p in pieces])) * 4
+            data, at = row.tobytes(), 0
+            for piece, end in zip(pieces, ends.tolist()):
+                known[piece] = data[at + skip : end]
+                at = end
 
 
 class Worded(Chunked):
@@ -220,9 +231,6 @@ class Worded(Chunked):
         self.closes = np.zeros(max(names.values()) + 1, dtype=bool)
         self.closes[[i for piece, i in names.items() if piece.endswith("</w>")]] = True
 
-    def between(self) -> bytes:
-        return b""
-
     def parts(self, text: str) -> list[str] | None:
         # a special token may come about by lower case, which the library does not look for
         low = text.lower()
@@ -237,14 +245,9 @@ class Worded(Chunked):
             text = text.replace("  ", " ")
         return cut(text)
 
-    def pieces(self, part: str) -> list[str]:
-        if "\n" in part:
-            return [p.lower() if p.isascii() else p for p in part.split("\n") if p] or [part]
-        return [part.lower() if part.isascii() else part]
-
     def new(self, spaced: list[str], bare: list[str]) -> None:
         # white space in front makes no difference
-        todo = [p for p in {*spaced, *bare} if p not in self.memo]
+        todo = {*spaced, *bare}
         self._words([p for p in todo if p.isalpha()])
         self._mixed([p for p in todo if not p.isalpha()])
         self.bare.update((p, self.memo[p]) for p in bare)

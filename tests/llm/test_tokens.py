@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import zlib
 from collections import defaultdict
@@ -150,3 +151,20 @@ def test_special_tokens_in_upper_case_and_runs_of_white_space(make):
     encoder = make()
     texts = ["a <|ENDOFTEXT|> b", "É <|EndOfText|> b", "a <|endoftext|>", "A \n\n  b,\nC", " \n a", "a\t \tb  c", "", "\n", "é\ńx ́y"]
     assert encoder.encode(texts) == [encoder.whole(t) for t in texts]
+
+
+def test_words_on_both_sides_of_a_line_end_are_pieces_of_their_own():
+    words = ["alpha", "beta,", "gamma.", "Delta", "εta", "it's", "x" * 300, "12", "!"]
+    texts = [f"one {a}\n{b} two" for a in words for b in words] + [f"{a}\n\n{b}\n" for a in words for b in words]
+    plain, encoder = library(planes.TOKENIZER), chunks.ByteLevel(planes.TOKENIZER)
+    for _ in range(2):
+        assert encoder.encode(texts) == [np.array(plain.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+    assert not any("\n" in piece[1:] for piece in encoder.memo)
+    assert len(encoder.memo) < 5 * len(words)
+
+
+def test_line_ends_and_white_space_in_all_orders():
+    texts = ["".join(t) for n in range(7) for t in itertools.product("a \n\t,", repeat=n)]
+    plain, encoder = library(planes.TOKENIZER), chunks.ByteLevel(planes.TOKENIZER)
+    for t, ids in zip(texts, encoder.encode(texts), strict=True):
+        assert ids == np.array(plain.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes(), t
